@@ -90,7 +90,11 @@ def parse_events(raw: DataFrame, mode: str = "current", now: Column | None = Non
     options = {"mode": "PERMISSIVE"}
     if mode == "current":
         options["columnNameOfCorruptRecord"] = "_corrupt_record"
-    parsed = raw.withColumn("payload", F.from_json("event_json", schema, options))
+    # The one-element explode keeps later filters from being pushed below the parse: a pushed
+    # filter would repeat from_json for every field of every rule.
+    parsed = raw.withColumn(
+        "payload", F.explode(F.array(F.from_json("event_json", schema, options)))
+    )
     broken = (
         F.col("payload").isNull()
         if mode == "legacy"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.functions.masking import mask_ip, mask_user
@@ -16,11 +16,15 @@ from siltbed.sources import inbox as src
 from siltbed.sources.recast import event_base, inbox, raw_changes, reference, tables
 
 R = Registry()
-NOW = F.lit("2024-02-01 00:00:00").cast("timestamp")
+
+
+def fixed_now() -> Column:
+    """The clock of every registered query, so that results can be repeated."""
+    return F.lit("2024-02-01 00:00:00").cast("timestamp")
 
 
 def flagged(spark: SparkSession, d: str) -> DataFrame:
-    return refine(inbox(spark, d), now=NOW)
+    return refine(inbox(spark, d), now=fixed_now())
 
 
 def silver(spark: SparkSession, d: str) -> DataFrame:
@@ -28,7 +32,7 @@ def silver(spark: SparkSession, d: str) -> DataFrame:
 
 
 def projects(spark: SparkSession, d: str) -> DataFrame:
-    return dimensions.dim_project(reference(spark, d), now=NOW)
+    return dimensions.dim_project(reference(spark, d), now=fixed_now())
 
 
 def calendar(spark: SparkSession, d: str) -> DataFrame:
@@ -37,7 +41,7 @@ def calendar(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, d: str) -> DataFrame:
-    return facts.fact_edits(silver(spark, d), projects(spark, d), now=NOW)
+    return facts.fact_edits(silver(spark, d), projects(spark, d), now=fixed_now())
 
 
 def editors(spark: SparkSession) -> DataFrame:
@@ -135,7 +139,7 @@ def _(spark, d):
 )
 def _(spark, d):
     raw = raw_changes(spark, d)
-    parsed = parse.parse_events(raw.withColumn("_source", F.col("e").cast("string")), now=NOW)
+    parsed = parse.parse_events(raw.withColumn("_source", F.col("e").cast("string")), now=fixed_now())
     filled = parse.null_fallbacks(
         parsed, {"minor": False, "wiki": "unknown", "event_time": F.col("silver_ingested_at")}
     )
@@ -180,7 +184,7 @@ FROM delivered"""
     ),
 )
 def _(spark, d):
-    return src.decode_inbox(inbox(spark, d), now=NOW).select(
+    return src.decode_inbox(inbox(spark, d), now=fixed_now()).select(
         F.from_json("event_json", parse.PAYLOAD).getField("id").alias("event_id"),
         "_source", "kafka_topic", "kafka_offset",
         F.unix_seconds("_ingested_at").alias("ingested_epoch"),
@@ -197,7 +201,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    return src.bronze_metadata(inbox(spark, d), now=NOW).select(
+    return src.bronze_metadata(inbox(spark, d), now=fixed_now()).select(
         "event_key", "_source", F.col("_load_date").cast("string").alias("load_date")
     )
 
@@ -714,9 +718,8 @@ def _(spark, d):
 
 def _broken_star(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The star with faults: projects lost and doubled, days lost, fact rows doubled."""
-    lost = F.coalesce(F.regexp_extract("wiki_code", r"_(\d+)wiki", 1), F.lit(""))
     number = F.expr("try_cast(regexp_extract(wiki_code, '_([0-9]+)wiki', 1) AS INT)")
-    all_projects = projects(spark, d).withColumn("_n", number).drop("lost")
+    all_projects = projects(spark, d).withColumn("_n", number)
     kept = all_projects.filter("coalesce(_n % 6 <> 2, true)")
     doubled = kept.unionByName(all_projects.filter("_n % 8 = 1")).drop("_n")
     dates = calendar(spark, d).filter("date_key % 5 <> 0")
@@ -834,7 +837,7 @@ def _(spark, d):
 
 def _short_history(spark: SparkSession, d: str) -> DataFrame:
     rows = reference(spark, d)
-    closed = F.when(F.col("n_nationkey") % 4 == 1, NOW)
+    closed = F.when(F.col("n_nationkey") % 4 == 1, fixed_now())
     return rows.filter("n_nationkey % 9 <> 2").withColumn("__END_AT", closed)
 
 
@@ -863,7 +866,7 @@ FROM silver WHERE n < 25"""
 
 @R.query("alert_freshness", on_events(f"SELECT 'stale_reference' AS alert, ({_STALE}) AS value"))
 def _(spark, d):
-    return alerts.alert_freshness(_aged_projects(spark, d), NOW)
+    return alerts.alert_freshness(_aged_projects(spark, d), fixed_now())
 
 
 @R.query(
@@ -876,7 +879,7 @@ def _(spark, d):
 )
 def _(spark, d):
     values = alerts.alert_reconciliation(reference(spark, d), _short_history(spark, d)).unionByName(
-        alerts.alert_freshness(_aged_projects(spark, d), NOW)
+        alerts.alert_freshness(_aged_projects(spark, d), fixed_now())
     )
     rules = spark.createDataFrame(
         [("missing_reference_records", "GREATER_THAN", 0.0), ("stale_reference", "NOT_EQUAL", 0.0),
