@@ -23,7 +23,7 @@ def duplicate_snapshot_keys(
     return snapshots.groupBy(*groups).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
-def snapshot_guard(history: DataFrame, at: Column) -> DataFrame:
+def snapshot_order_guard(history: DataFrame, at: Column) -> DataFrame:
     """One row: ``accepted`` unless the history already holds something newer than ``at``."""
     newest = history.agg(F.greatest(F.max(START), F.max(END)).alias("newest"))
     return newest.select("newest", F.coalesce(F.col("newest") <= at, F.lit(True)).alias("accepted"))

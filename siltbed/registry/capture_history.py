@@ -336,9 +336,14 @@ def _(spark, d):
     )
 
 
-@R.query("snapshot_guard", 'SELECT 3 AS newest, false AS accepted FROM customer HAVING count(*) > 0')
+@R.query(
+    "snapshot_order_guard",
+    _HISTORY
+    + """SELECT max(greatest("__START_AT", coalesce("__END_AT", 0))) AS newest,
+  max(greatest("__START_AT", coalesce("__END_AT", 0))) <= 2 AS accepted FROM hist""",
+)
 def _(spark, d):
-    return hist.snapshot_guard(_built(spark, d), F.lit(2))
+    return hist.snapshot_order_guard(_built(spark, d), F.lit(2))
 
 
 # --- merge plans ---------------------------------------------------------------------------
