@@ -6,6 +6,6 @@ from siltbed.registry.base import Registry
 
 
 def all_registries() -> list[Registry]:
-    from siltbed.registry import capture_history, corpus_answers, events_gold
+    from siltbed.registry import capture_history, corpus_answers, events_gold, streams
 
-    return [events_gold.R, capture_history.R, corpus_answers.R]
+    return [events_gold.R, capture_history.R, corpus_answers.R, streams.R]

@@ -440,7 +440,7 @@ def _markdown(spark, d) -> DataFrame:
     raw = F.concat(
         F.lit('---\ntitle: "Doc '), number, F.lit('"\nlang: '), F.col("lang"), F.lit("\n---\n# Doc "), number,
         F.lit("\n\nIntro "), F.col("lang"), F.lit(".\n\n## Query ##\n\nRun this:\n\n```sql\n# not a heading\n\nSELECT "),
-        number, F.lit(";\n```\n\n## Text\n\n"), F.col("text"), F.lit("\n"),
+        number, F.lit(";\n```\n\n## Text\n\n"), F.replace("text", F.lit("\n"), F.lit("\n \n")), F.lit("\n"),
     )
     broken = F.when(F.col("doc_id") % 97 == 3, F.lit("---\ntitle: open\n")).otherwise(raw)
     files = tables(spark, d, "documents").select(
@@ -452,7 +452,8 @@ def _markdown(spark, d) -> DataFrame:
 
 
 _MD = r"""WITH md AS (SELECT *, doc_id % 97 = 3 AS unclosed, doc_id % 89 = 5 AS odd_path,
-  CAST(doc_id AS VARCHAR) AS num, regexp_replace(text, '^\s+|\s+$', '', 'g') AS body FROM documents)
+  CAST(doc_id AS VARCHAR) AS num,
+  regexp_replace(replace(text, chr(10), chr(10) || ' ' || chr(10)), '^\s+|\s+$', '', 'g') AS body FROM documents)
 """
 
 
@@ -492,11 +493,23 @@ def _(spark, d):
     )
 
 
-@R.query("md_blocks")
+# The lines of the text became paragraphs; the fence joins its short caption.
+@R.query(
+    "md_blocks",
+    _MD + """SELECT 'Doc ' || num AS canonical_title, 0 AS section_index, 1::BIGINT AS blocks,
+  length('Intro ' || lang || '.') AS chars FROM md WHERE NOT unclosed AND NOT odd_path
+UNION ALL SELECT 'Doc ' || num, 1, 1, length('Run this:..```sql.# not a heading..SELECT ' || num || ';.```')
+FROM md WHERE NOT unclosed AND NOT odd_path
+UNION ALL SELECT 'Doc ' || num, 2, count(*), CAST(sum(length(line)) AS BIGINT) FROM (
+  SELECT num, unnest(string_split(body, chr(10))) AS line FROM md WHERE NOT unclosed AND NOT odd_path)
+WHERE trim(line) <> '' GROUP BY num""",
+)
 def _(spark, d):
     sections = markdown.md_sections(_markdown(spark, d).filter("fault IS NULL"))
-    return markdown.md_blocks(sections).select(
-        "document_id", "section_index", "block_index", "block"
+    return (
+        markdown.md_blocks(sections)
+        .groupBy("canonical_title", "section_index")
+        .agg(F.count("*").alias("blocks"), F.sum(F.length("block")).alias("chars"))
     )
 
 
