@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.functions.joins import salted_lookup
 from siltbed.operators.dimensions import UNKNOWN, project_key
 
 
@@ -31,30 +30,44 @@ def check_unique_project_keys(projects: DataFrame) -> DataFrame:
     return check_unique_keys(projects, "project_key", "unique_project_keys")
 
 
-def check_foreign_key(facts: DataFrame, dimension: DataFrame, key: str, name: str) -> DataFrame:
-    """Fact rows without a dimension row. Facts are counted per key before the anti join."""
-    keyed = facts.groupBy(key).agg(F.count("*").alias("n"))
-    orphans = salted_lookup(keyed, dimension.select(key).distinct(), [key], "left_anti", ["n"])
+def fact_keys(facts: DataFrame) -> DataFrame:
+    """Facts counted per project and day: all that the checks need to know about them."""
+    return facts.groupBy("project_key", "date_key").agg(F.count("*").alias("n"))
+
+
+def check_foreign_key(keyed: DataFrame, dimension: DataFrame, key: str, name: str) -> DataFrame:
+    """Fact rows without a dimension row, from facts counted per key (``n``)."""
+    counts = keyed.groupBy(key).agg(F.sum("n").alias("n"))
+    orphans = counts.join(dimension.select(key).distinct(), key, "left_anti")
     return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
         F.lit(name).alias("check_name"), "violations"
     )
 
 
 def check_project_ri(facts: DataFrame, projects: DataFrame) -> DataFrame:
-    return check_foreign_key(facts, projects, "project_key", "project_referential_integrity")
+    return _project_ri(fact_keys(facts), projects)
+
+
+def _project_ri(keyed: DataFrame, projects: DataFrame) -> DataFrame:
+    return check_foreign_key(keyed, projects, "project_key", "project_referential_integrity")
 
 
 def check_date_ri(facts: DataFrame, dates: DataFrame) -> DataFrame:
-    return check_foreign_key(facts, dates, "date_key", "date_referential_integrity")
+    return _date_ri(fact_keys(facts), dates)
 
 
-def _tagged_count(rows: DataFrame, sign: int) -> DataFrame:
-    return rows.agg((F.count("*") * sign).alias("signed"))
+def _date_ri(keyed: DataFrame, dates: DataFrame) -> DataFrame:
+    return check_foreign_key(keyed, dates, "date_key", "date_referential_integrity")
 
 
 def check_silver_gold(silver: DataFrame, facts: DataFrame) -> DataFrame:
     """Difference between the number of clean events and the number of facts."""
-    both = _tagged_count(silver, 1).unionByName(_tagged_count(facts, -1))
+    return _reconcile(silver, facts.agg(F.count("*").alias("n")))
+
+
+def _reconcile(silver: DataFrame, counted: DataFrame) -> DataFrame:
+    clean = silver.agg(F.count("*").alias("signed"))
+    both = clean.unionByName(counted.agg((-F.coalesce(F.sum("n"), F.lit(0))).alias("signed")))
     return both.agg(F.abs(F.sum("signed")).alias("violations")).select(
         F.lit("silver_gold_reconciliation").alias("check_name"), "violations"
     )
@@ -75,12 +88,14 @@ def all_checks(checks: Sequence[DataFrame]) -> DataFrame:
 def gold_checks(
     silver: DataFrame, facts: DataFrame, projects: DataFrame, dates: DataFrame
 ) -> DataFrame:
+    """All publication checks. The facts are read once: three checks share their key counts."""
+    keyed = fact_keys(facts)
     return all_checks(
         [
             check_unique_project_keys(projects),
-            check_project_ri(facts, projects),
-            check_date_ri(facts, dates),
-            check_silver_gold(silver, facts),
+            _project_ri(keyed, projects),
+            _date_ri(keyed, dates),
+            _reconcile(silver, keyed),
         ]
     )
 

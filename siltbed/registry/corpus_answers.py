@@ -560,30 +560,36 @@ def _(spark, d):
     )
 
 
+def _corpus_of(column: str):
+    """Two corpora; the first holds three quarters of the rows."""
+    return F.when(F.col(column) % 4 == 3, "small").otherwise("large")
+
+
 def _text_chunks(spark, d) -> DataFrame:
     return tables(spark, d, "documents").select(
-        F.col("doc_id").alias("chunk_id"), F.lit("documents").alias("corpus_id"),
+        F.col("doc_id").alias("chunk_id"), _corpus_of("doc_id").alias("corpus_id"),
         F.lit("g1").alias("generation"), "text",
     )
 
 
 def _text_questions(spark, d) -> DataFrame:
     return tables(spark, d, "benchmark").select(
-        F.col("item_id").alias("question_id"), F.lit("documents").alias("corpus_id"),
+        F.col("item_id").alias("question_id"), _corpus_of("item_id").alias("corpus_id"),
         F.lit("g1").alias("generation"), "text",
     )
 
 
-_KEYWORD = r"""tok AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS ws FROM documents),
-len AS (SELECT doc_id, len(ws) AS n FROM tok), tot AS (SELECT count(*) AS docs, avg(n) AS mean FROM len),
-ask AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+')) AS term FROM benchmark),
-tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS term FROM tok)
-  WHERE term IN (SELECT term FROM ask) GROUP BY 1, 2),
-df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+_KEYWORD = r"""tok AS (SELECT doc_id, doc_id % 4 = 3 AS c, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS ws FROM documents),
+len AS (SELECT doc_id, c, len(ws) AS n FROM tok), tot AS (SELECT c, count(*) AS docs, avg(n) AS mean FROM len GROUP BY 1),
+ask AS (SELECT DISTINCT item_id, item_id % 4 = 3 AS c, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+')) AS term
+  FROM benchmark),
+tf AS (SELECT doc_id, c, term, count(*) AS tf FROM (SELECT doc_id, c, unnest(ws) AS term FROM tok)
+  WHERE term IN (SELECT term FROM ask) GROUP BY 1, 2, 3),
+df AS (SELECT c, term, count(*) AS df FROM tf GROUP BY 1, 2),
 scored AS (SELECT a.item_id AS question_id, tf.doc_id AS chunk_id,
     round(sum(ln(1 + (tot.docs - df.df + 0.5) / (df.df + 0.5)) * tf.tf * 2.2
       / (tf.tf + 1.2 * (0.25 + 0.75 * len.n / tot.mean))), 6) AS score
-  FROM ask a JOIN tf USING (term) JOIN df USING (term) JOIN len USING (doc_id), tot GROUP BY 1, 2),
+  FROM ask a JOIN tf USING (c, term) JOIN df USING (c, term) JOIN tot USING (c) JOIN len USING (doc_id) GROUP BY 1, 2),
 keyword_hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS "rank"
   FROM scored WHERE score > 0) WHERE "rank" <= {k})"""
 
