@@ -66,11 +66,15 @@ ICU_CLASS, ICU_METHOD = "com.ibm.icu.util.ULocale", "getDisplayLanguage"
 def language_name(code: Column) -> Column:
     """English name of a language code; unknown codes become ``ISO: <CODE>``."""
     lowered = F.lower(code)
-    plain = F.when(lowered.rlike("^[a-z]{2,3}$") & ~lowered.isin(UNNAMED_CODES), lowered)
-    icu = F.reflect(F.lit(ICU_CLASS), F.lit(ICU_METHOD), plain, F.lit("en"))
-    exceptions = F.create_map(*[F.lit(x) for pair in NAME_EXCEPTIONS.items() for x in pair])
+    unnamed = F.array_contains(F.split(F.lit(" ".join(UNNAMED_CODES)), " "), lowered)
+    plain = F.when(lowered.rlike("^[a-z]{2,3}$") & ~unnamed, lowered)
+    # The ICU method takes no NULL; the name of an empty code is empty and never used.
+    known = F.coalesce(plain, F.lit(""))
+    icu = F.reflect(F.lit(ICU_CLASS), F.lit(ICU_METHOD), known, F.lit("en"))
+    listed = ";".join(f"{key}={name}" for key, name in NAME_EXCEPTIONS.items())
+    exceptions = F.str_to_map(F.lit(listed), F.lit(";"), F.lit("="))
     return F.coalesce(
         F.try_element_at(exceptions, lowered),
-        F.when(plain.isNotNull() & (icu != plain), icu),
+        F.when(icu != plain, icu),
         F.concat(F.lit("ISO: "), F.upper(code)),
     )

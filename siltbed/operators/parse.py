@@ -105,10 +105,10 @@ def parse_events(raw: DataFrame, mode: str = "current", now: Column | None = Non
     if mode == "legacy":
         times.pop("producer_timestamp_utc")
     flat = parsed.select(
-        *[F.col(f"payload.{p}").alias(n) for p, n in FLAT_COLUMNS.items() if n not in skipped],
+        *[F.expr(f"payload.{p} AS {n}") for p, n in FLAT_COLUMNS.items() if n not in skipped],
         *[value.alias(name) for name, value in times.items()],
         broken.alias("_parse_error"),
-        *[F.col(src).alias(dst) for src, dst in CARRIED.items() if src in raw.columns],
+        *[F.expr(f"{src} AS {dst}") for src, dst in CARRIED.items() if src in raw.columns],
     )
     if mode == "legacy":
         return flat.withColumns(

@@ -28,7 +28,7 @@ SNAPSHOT_EXPECTATIONS = {
 
 def holds(predicate: str) -> Column:
     """A predicate that cannot be decided counts as broken."""
-    return F.coalesce(F.expr(predicate), F.lit(False))
+    return F.expr(f"coalesce({predicate}, false)")
 
 
 def future_time_rule(tolerance: str = "1 DAY") -> dict[str, str]:
@@ -41,13 +41,12 @@ def future_time_rule(tolerance: str = "1 DAY") -> dict[str, str]:
 def dq_flags(rows: DataFrame, rules: Mapping[str, str] = EVENT_RULES) -> DataFrame:
     """One ``_dq_<rule>`` per rule, ``_dq_passed`` and the failed names in rule order."""
     flagged = rows.withColumns({f"_dq_{name}": holds(text) for name, text in rules.items()})
-    flags = {name: F.col(f"_dq_{name}") for name in rules}
+    passed = " AND ".join(f"_dq_{name}" for name in rules)
+    reasons = ", ".join(f"CASE WHEN NOT _dq_{name} THEN '{name}' END" for name in rules)
     return flagged.withColumns(
         {
-            "_dq_passed": reduce(lambda a, b: a & b, flags.values()),
-            "_dq_failure_reasons": F.array_compact(
-                F.array(*[F.when(~flag, F.lit(name)) for name, flag in flags.items()])
-            ),
+            "_dq_passed": F.expr(passed),
+            "_dq_failure_reasons": F.expr(f"array_compact(array({reasons}))"),
         }
     )
 

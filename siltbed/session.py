@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # UTC everywhere: date keys and hours must not depend on where a job runs.
-RUNTIME_SETTINGS = {
+SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Recording the Python line of every column costs more than planning a wide query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -22,13 +24,13 @@ def build_session(app: str = "siltbed", master: str | None = None, **extra: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return pin_session(builder.getOrCreate())
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Apply the settings that decide results (time zone) to a session somebody else created."""
+    """Apply the time zone, which decides results, to a session somebody else created."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark

@@ -46,48 +46,40 @@ def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The short names that ``EVENT_FIELDS`` refers to."""
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    return tables(spark, sf_dir, "events").select(
-        F.col("event_id").alias("e"),
-        F.col("user_id").alias("u"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.col("event_type").alias("et"),
-        F.col("value").alias("v"),
-        micros.alias("us"),
-        F.expr("unix_micros(CAST(ts AS TIMESTAMP)) div 1000000").alias("secs"),
-        F.expr("user_id % 30").alias("n"),
+    micros = "unix_micros(CAST(ts AS TIMESTAMP))"
+    return tables(spark, sf_dir, "events").selectExpr(
+        "event_id AS e",
+        "user_id AS u",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "event_type AS et",
+        "value AS v",
+        f"{micros} AS us",
+        f"{micros} div 1000000 AS secs",
+        "user_id % 30 AS n",
     )
 
 
 def raw_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One undelivered event per row: ``e``, ``us`` and the payload text."""
-    fields = {k: F.expr(v.replace("VARCHAR(20)", "STRING")) for k, v in EVENT_FIELDS.items()}
-    dt = F.when(F.expr("e % 61 = 0"), "not a date").otherwise(
-        F.date_format(F.timestamp_seconds("secs"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    fields = {k: v.replace("VARCHAR(20)", "STRING") for k, v in EVENT_FIELDS.items()}
+    stamp = "date_format(timestamp_seconds(secs), \"yyyy-MM-dd'T'HH:mm:ss'{}'\")"
+    dt = f"CASE WHEN e % 61 = 0 THEN 'not a date' ELSE {stamp.format('Z')} END"
+    nested = ("meta_id", "domain", "length_old", "length_new", "source")
+    payload = ", ".join(
+        [f"'{name}', {text}" for name, text in fields.items() if name not in nested]
+        + [
+            f"'meta', named_struct('id', {fields['meta_id']}, 'domain', {fields['domain']}, 'dt', {dt})",
+            f"'length', named_struct('old', {fields['length_old']}, 'new', {fields['length_new']})",
+            f"'_producer', CASE WHEN e % 3 <> 0 THEN named_struct('source', {fields['source']}, "
+            f"'producer_timestamp_utc', {stamp.format('+00:00')}) END",
+        ]
     )
-    plain = ("id", "type", "namespace", "title", "comment", "timestamp", "user", "bot", "minor", "wiki")
-    payload = F.struct(
-        *[fields[c].alias(c) for c in plain],
-        F.struct(fields["meta_id"].alias("id"), fields["domain"].alias("domain"), dt.alias("dt")).alias("meta"),
-        F.struct(fields["length_old"].alias("old"), fields["length_new"].alias("new")).alias("length"),
-        F.when(
-            F.expr("e % 3 <> 0"),
-            F.struct(
-                fields["source"].alias("source"),
-                F.date_format(F.timestamp_seconds("secs"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias(
-                    "producer_timestamp_utc"
-                ),
-            ),
-        ).alias("_producer"),
-    )
-    text = F.when(F.expr(BROKEN_TEXT), F.concat(F.lit("{not-json "), F.col("e").cast("string")))
-    return event_base(spark, sf_dir).select(
+    return event_base(spark, sf_dir).selectExpr(
         "e",
         "us",
-        text.otherwise(F.to_json(payload)).alias("event_json"),
-        F.coalesce(fields["meta_id"], F.concat(F.lit("raw-"), F.col("e").cast("string"))).alias(
-            "event_key"
-        ),
+        f"CASE WHEN {BROKEN_TEXT} THEN concat('{{not-json ', CAST(e AS STRING)) "
+        f"ELSE to_json(named_struct({payload})) END AS event_json",
+        f"coalesce({fields['meta_id']}, concat('raw-', CAST(e AS STRING))) AS event_key",
     )
 
 
