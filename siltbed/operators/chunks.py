@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltbed.functions.joins import salted_lookup
+from siltbed.functions.plans import once
 from siltbed.functions.text import digest, iso_utc, short_digest
 from siltbed.operators.merge import merge_plan
 
@@ -36,9 +37,10 @@ def chunk_fixed(documents: DataFrame, corpus: Column, size: int = CHUNK_CHARS) -
         raise ValueError(f"Chunks have at least {MIN_CHARS} characters")
     pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
     carried = [c for c in documents.columns if c not in ("text", "content_hash", "corpus_id")]
+    cut = once(documents, "_pieces", pieces)
     return (
-        documents.select(
-            *carried, corpus.alias("corpus_id"), F.posexplode(pieces).alias("chunk_index", "text")
+        cut.select(
+            *carried, corpus.alias("corpus_id"), F.posexplode("_pieces").alias("chunk_index", "text")
         )
         .withColumn("chunk_id", chunk_id("corpus_id", "document_id", "chunk_index"))
         .withColumn("content_hash", digest(F.col("text")))

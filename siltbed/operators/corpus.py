@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.functions.joins import salted_lookup, top_per_group
+from siltbed.functions.plans import once
 from siltbed.functions.text import digest, strip
 
 # The eligibility rules, their published text, and the source of page responses.
@@ -114,7 +115,7 @@ def usable_summaries(
         f"schema_of_variant(try_variant_get(_v, '$.{path}', 'variant'))"
     )
     text_of = lambda path: F.expr(f"try_variant_get(_v, '$.{path}', 'string')")
-    parsed = responses.withColumn("_v", F.explode(F.array(F.try_parse_json(column))))
+    parsed = once(responses, "_v", F.try_parse_json(column))
     fields = parsed.withColumns(
         {
             "_type": text_of("type"),

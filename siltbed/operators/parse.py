@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltbed.functions.plans import once
 from siltbed.schemas import PAYLOAD
 
 # Payload path -> column of the flat row.
@@ -90,11 +91,8 @@ def parse_events(raw: DataFrame, mode: str = "current", now: Column | None = Non
     options = {"mode": "PERMISSIVE"}
     if mode == "current":
         options["columnNameOfCorruptRecord"] = "_corrupt_record"
-    # The one-element explode keeps later filters from being pushed below the parse: a pushed
-    # filter would repeat from_json for every field of every rule.
-    parsed = raw.withColumn(
-        "payload", F.explode(F.array(F.from_json("event_json", schema, options)))
-    )
+    # Otherwise the rules, pushed below the parse, would repeat it for every field they read.
+    parsed = once(raw, "payload", F.from_json("event_json", schema, options))
     broken = (
         F.col("payload").isNull()
         if mode == "legacy"

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.functions.joins import salted_lookup, top_per_group
+from siltbed.functions.plans import once
 from siltbed.functions.text import words
 
 CORPUS = ["corpus_id", "generation"]
@@ -144,7 +145,7 @@ def retrieve_vector(
 
 def term_counts(chunks: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
     """Term frequency per chunk with the chunk's length, optionally for a vocabulary only."""
-    listed = chunks.select("chunk_id", *CORPUS, words(F.col("text")).alias("_words"))
+    listed = once(chunks, "_words", words(F.col("text")))
     terms = listed.select(
         "chunk_id", *CORPUS, F.size("_words").alias("length"), F.explode("_words").alias("term")
     )
@@ -186,10 +187,13 @@ def retrieve_keyword(
     totals = lengths.groupBy(*CORPUS).agg(
         F.count("*").alias("_n"), F.avg("length").alias("_mean")
     )
-    spread = counts.groupBy(*CORPUS, "term").agg(F.count("*").alias("_df"))
+    # Mentions ``tf`` so that both uses of the counts are the same plan and share one shuffle.
+    spread = counts.groupBy(*CORPUS, "term").agg(F.count_if(F.col("tf") > 0).alias("_df"))
     idf = F.log1p((F.col("_n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
     stats = spread.join(totals, CORPUS).select(*CORPUS, "term", "_mean", idf.alias("_idf"))
-    weighed = salted_lookup(counts, stats, [*CORPUS, "term"], "inner", ["chunk_id"])
+    # Every count has its statistics, so a left join is enough. Its build side is always the
+    # statistics: the size of the counts is underestimated, as they come out of an explode.
+    weighed = salted_lookup(counts, stats, [*CORPUS, "term"], "left", ["chunk_id"])
     damping = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / F.col("_mean"))
     weight = F.col("_idf") * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damping)
     rows = (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltbed.functions.joins import top_per_group
+from siltbed.functions.plans import once
 from siltbed.functions.text import is_blank
 from siltbed.schemas import INBOX
 
@@ -17,9 +18,9 @@ PRODUCER = "recent-change"
 
 
 def _peek(rows: DataFrame) -> DataFrame:
-    """Parse only what admission needs; as a generator, so that the parse is not repeated."""
+    """Parse only what admission needs."""
     options = {"columnNameOfCorruptRecord": "_corrupt_record"}
-    return rows.withColumn("_p", F.explode(F.array(F.from_json("event_json", ADMISSION, options))))
+    return once(rows, "_p", F.from_json("event_json", ADMISSION, options))
 
 
 def admit_events(
@@ -75,9 +76,7 @@ def stamp_producer(
         )
     )
     fields = F.map_filter("_f", lambda k, _: k != "_producer")
-    parsed = rows.withColumn(
-        "_f", F.explode(F.array(F.from_json("event_json", "MAP<STRING, VARIANT>")))
-    )
+    parsed = once(rows, "_f", F.from_json("event_json", "MAP<STRING, VARIANT>"))
     return parsed.select(
         F.to_json(F.map_concat(fields, F.create_map(F.lit("_producer"), stamp))).alias("event_json"),
         F.expr("try_variant_get(_f['meta'], '$.id', 'string')").alias("event_key"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltbed.functions.plans import once
 from siltbed.functions.text import digest, is_blank, strip
 from siltbed.operators.chunks import PROJECT_TYPE
 
@@ -50,7 +51,7 @@ def markdown_documents(files: DataFrame, now: Column | None = None) -> DataFrame
         .when(F.col("length") > MAX_FILE_BYTES, "file too large")
         .when(~F.col("source_path").rlike(PATH_PATTERN), "path")
     )
-    return files.select(
+    return once(files, "raw", raw).select(
         F.concat(F.lit("project-doc:"), "source_path").alias("document_id"),
         F.when(F.length(listed) > 0, named).otherwise(stem).alias("canonical_title"),
         "source_path",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltbed.functions.plans import once
+
 # The listing's own keys and the codes used where it gives none.
 COUNT_KEY, SPECIALS_KEY = "count", "specials"
 DEFAULT_CODE, SPECIAL_CODE = "unknown", "special"
@@ -36,18 +38,17 @@ def flatten_sites(listings: DataFrame, column: str = "listing_json") -> DataFram
     A listing is an object of numbered language blocks plus one list of special sites. Each entry
     is turned into the same array of rows, so one explode serves both.
     """
-    entries = listings.select(
-        *[c for c in listings.columns if c != column],
-        F.explode(F.from_json(column, "sitematrix MAP<STRING, STRING>").getField("sitematrix")),
-    )
+    carried = [c for c in listings.columns if c != column]
+    matrix = F.from_json(column, "sitematrix MAP<STRING, STRING>").getField("sitematrix")
+    entries = once(listings, "_matrix", matrix).select(*carried, F.explode("_matrix"))
     block = F.from_json("value", f"code STRING, site ARRAY<{SITE}>")
     specials = F.from_json("value", f"ARRAY<{SITE}>")
-    parsed = entries.filter(F.col("key") != COUNT_KEY).select(
-        "*",
-        F.when(F.col("key") == SPECIALS_KEY, specials).alias("_specials"),
-        F.when(F.col("key") != SPECIALS_KEY, block).alias("_block"),
+    branch = F.struct(
+        F.when(F.col("key") == SPECIALS_KEY, specials).alias("specials"),
+        F.when(F.col("key") != SPECIALS_KEY, block).alias("block"),
     )
-    block_code = F.coalesce(F.col("_block.code"), F.lit(DEFAULT_CODE))
+    parsed = once(entries.filter(F.col("key") != COUNT_KEY), "_p", branch)
+    block_code = F.coalesce(F.col("_p.block.code"), F.lit(DEFAULT_CODE))
 
     def project(site: Column, code: Column) -> Column:
         return F.struct(
@@ -58,10 +59,9 @@ def flatten_sites(listings: DataFrame, column: str = "listing_json") -> DataFram
         )
 
     rows = F.coalesce(
-        F.transform("_specials", lambda s: project(s, F.coalesce(s["code"], F.lit(SPECIAL_CODE)))),
-        F.transform("_block.site", lambda s: project(s, block_code)),
+        F.transform("_p.specials", lambda s: project(s, F.coalesce(s["code"], F.lit(SPECIAL_CODE)))),
+        F.transform("_p.block.site", lambda s: project(s, block_code)),
     )
-    carried = [c for c in entries.columns if c not in ("key", "value")]
     return parsed.select(*carried, F.inline(rows))
 
 
