@@ -41,6 +41,9 @@ def publish_table(
     """
     spark = rows.sparkSession
     path = f"{root.rstrip('/')}/{_check_name(name)}/v={uuid.uuid4().hex}"
+    if partition_by:
+        # Few files per partition, and a partition with very many rows is split again.
+        rows = rows.hint("rebalance", *partition_by)
     rows.write.mode("errorifexists").parquet(path, partitionBy=partition_by)
     written = spark.read.schema(rows.schema).parquet(path)
     if gate is not None:

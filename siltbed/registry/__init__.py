@@ -6,6 +6,12 @@ from siltbed.registry.base import Registry
 
 
 def all_registries() -> list[Registry]:
-    from siltbed.registry import capture_history, corpus_answers, events_gold, streams
+    from siltbed.registry import (
+        capture_history,
+        corpus_answers,
+        events_gold,
+        publication,
+        streams,
+    )
 
-    return [events_gold.R, capture_history.R, corpus_answers.R, streams.R]
+    return [events_gold.R, capture_history.R, publication.R, corpus_answers.R, streams.R]
