@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +27,14 @@ def markdown_files(spark: SparkSession, root: str, folder: str = "docs") -> Data
         .load(root)
     )
     marker = root.rstrip("/").split("://")[-1].split(":")[-1] + "/"
-    below = F.substring_index(F.col("path"), marker, -1)
-    return files.select(
-        F.concat_ws("/", F.lit(folder), below).alias("source_path"),
-        "length",
-        F.decode("content", "utf-8").alias("raw"),
+    below = F.substring_index("path", marker, -1).alias("below")
+    # Spark reads no rows from empty files, but its file listing has them; they are faults, too.
+    listed = spark.createDataFrame([(unquote(p),) for p in files.inputFiles()], "path STRING")
+    found = files.select(below, "length", F.decode("content", "utf-8").alias("raw"))
+    return listed.select(below).join(found, "below", "left").select(
+        F.concat_ws("/", F.lit(folder), "below").alias("source_path"),
+        F.coalesce("length", F.lit(0)).alias("length"),
+        F.coalesce("raw", F.lit("")).alias("raw"),
     )
 
 
