@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.functions.joins import salted_lookup
 from siltbed.operators.dimensions import UNKNOWN
 
 
@@ -25,7 +24,7 @@ def alert_quarantine(
 def alert_reconciliation(snapshot: DataFrame, history: DataFrame) -> DataFrame:
     """Snapshot rows without an active history row; a row without a code always counts."""
     active = history.filter("__END_AT IS NULL").select("wiki_code").distinct()
-    missing = salted_lookup(snapshot, active, ["wiki_code"], "left_anti", ["site_url"])
+    missing = snapshot.join(active, "wiki_code", "left_anti")
     return _value(missing, "missing_reference_records", F.count("*"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from siltbed.functions.joins import salted_lookup, top_per_group
 from siltbed.functions.plans import once
-from siltbed.functions.text import digest, strip
+from siltbed.functions.text import digest, short_digest, strip
 
 # The eligibility rules, their published text, and the source of page responses.
 RULES = "enwiki; namespace=0; edit/new; nonempty title; [start,end); count DESC,title ASC"
@@ -58,6 +58,42 @@ def corpus_id(start: str, end: str, limit: int, titles: Sequence[str] | None = N
     return sha256("|".join(parts).encode()).hexdigest()[:24]
 
 
+def corpus_ids(requests: DataFrame) -> DataFrame:
+    """``corpus_id`` for a table of requests; NULL where a request is not valid.
+
+    Columns: ``start_utc``, ``end_utc``, ``article_limit`` and ``titles`` (NULL or empty: choose by
+    frequency).
+    """
+    titles = F.array_sort(F.coalesce("titles", F.array().cast("array<string>")))
+    quoted = F.transform(
+        titles, lambda t: F.regexp_extract(F.to_json(F.struct(t.alias("t"))), r'(?s)^\{"t":(.*)\}$', 1)
+    )
+    listed = F.concat(F.lit("titles=["), F.array_join(quoted, ", "), F.lit("]"))
+    clean = F.forall(titles, lambda t: (strip(t) == t) & (F.length(t) > 0))
+    chosen = (
+        (F.size(titles) == F.col("article_limit"))
+        & (F.size(F.array_distinct(titles)) == F.size(titles))
+        & F.coalesce(clean, F.lit(False))
+    )
+    valid = (
+        (F.col("start_utc") < F.col("end_utc"))
+        & F.col("article_limit").between(1, MAX_ARTICLES)
+        & ((F.size(titles) == 0) | chosen)
+    )
+
+    def iso(time: str) -> Column:
+        whole = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss")
+        micros = F.unix_micros(time) % 1_000_000
+        part = F.when(micros != 0, F.date_format(time, ".SSSSSS")).otherwise("")
+        return F.concat(whole, part, F.lit("+00:00"))
+
+    text = F.concat_ws(
+        "|", iso("start_utc"), iso("end_utc"), F.col("article_limit").cast("string"), F.lit(RULES),
+        F.when(F.size(titles) > 0, listed),
+    )
+    return requests.withColumn("corpus_id", F.when(valid, short_digest(text)))
+
+
 def eligible_events(
     events: DataFrame, start: Column, end: Column, wiki: str | None = DEFAULT_WIKI
 ) -> DataFrame:
@@ -167,7 +203,7 @@ def cache_lookup(titles: DataFrame, aliases: DataFrame, content: DataFrame) -> D
     known = titles.select("wiki", "title").distinct().join(
         aliases.select("wiki", "title", "document_id"), ["wiki", "title"]
     )
-    return salted_lookup(known, content.drop("wiki"), ["document_id"], "inner", ["title"])
+    return known.join(content.drop("wiki"), "document_id")
 
 
 def cache_policy(
@@ -194,7 +230,7 @@ def select_documents(
     windows are bounded). ``lookups``: ``title, document_id, cached``; a NULL document is
     unusable. Each page that is not cached costs one attempt of ``budget``.
     """
-    found = salted_lookup(ranked, lookups, ["title"], "left", ["wiki"])
+    found = ranked.join(lookups, "title", "left")
     walk = Window.partitionBy("wiki").orderBy("rank")
     same = Window.partitionBy("wiki", "document_id").orderBy("rank")
     usable = F.col("document_id").isNotNull()

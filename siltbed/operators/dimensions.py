@@ -126,8 +126,8 @@ def language_code_census(reference: DataFrame) -> DataFrame:
 
 
 def dim_editor_type(spark: SparkSession) -> DataFrame:
-    """The two kinds of editor."""
-    return spark.createDataFrame(
-        [(1, True, "Bot"), (2, False, "Human")],
-        "editor_type_key INT, is_bot BOOLEAN, editor_type_desc STRING",
+    """The two kinds of editor, as an inline table whose size the planner knows."""
+    return spark.sql(
+        "SELECT * FROM VALUES (1, true, 'Bot'), (2, false, 'Human') "
+        "AS t(editor_type_key, is_bot, editor_type_desc)"
     )

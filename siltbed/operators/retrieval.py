@@ -24,7 +24,7 @@ from siltbed.functions.text import words
 
 CORPUS = ["corpus_id", "generation"]
 SMALL_QUESTIONS = 2_000
-QUESTION_BLOCK, CHUNK_BLOCK = 1_024, 8_192
+QUESTION_BLOCK, CHUNK_BLOCK, SCORE_ROWS = 8_192, 8_192, 256
 DECIMALS = 6
 # Usual constants of the BM25 weight and of reciprocal-rank fusion.
 BM25_K1, BM25_B = 1.2, 0.75
@@ -36,17 +36,17 @@ Scorer = Callable[[pd.DataFrame, pd.DataFrame], np.ndarray]
 def _best(questions: pd.DataFrame, chunks: pd.DataFrame, scorer: Scorer, k: int, floor: float) -> pd.DataFrame:
     """Best ``k`` chunks of one block for each question of one block; ties go to the lower id."""
     found = []
-    scores = np.round(scorer(questions, chunks), DECIMALS)
     ids = chunks["chunk_id"].to_numpy()
-    for question, row in zip(questions["question_id"], scores):
-        if len(row) > k:
-            row_floor = max(floor, np.partition(row, -k)[-k])
-        else:
-            row_floor = floor
-        near = np.flatnonzero(row >= row_floor)
-        best = pd.DataFrame({"question_id": question, "chunk_id": ids[near], "score": row[near]})
-        found.append(best.sort_values(["score", "chunk_id"], ascending=[False, True]).head(k))
-    return pd.concat(found) if found else pd.DataFrame(columns=["question_id", "chunk_id", "score"])
+    # A slice of the questions at a time, so that the scores stay small next to the block.
+    for start in range(0, len(questions), SCORE_ROWS):
+        part = questions.iloc[start : start + SCORE_ROWS]
+        scores = np.round(scorer(part, chunks), DECIMALS)
+        for question, row in zip(part["question_id"], scores):
+            least = max(floor, np.partition(row, -k)[-k]) if len(row) > k else floor
+            near = np.flatnonzero(row >= least)
+            best = pd.DataFrame({"question_id": question, "chunk_id": ids[near], "score": row[near]})
+            found.append(best.sort_values(["score", "chunk_id"], ascending=[False, True]).head(k))
+    return pd.concat(found)
 
 
 def _top_k(hits: DataFrame, k: int) -> DataFrame:

@@ -228,7 +228,7 @@ def edits_by_language_raw(
     )
     listed = reference.select(F.col("wiki_code").alias("wiki"), "language_code", "project_name")
     ranked = (
-        salted_lookup(keyed, listed, ["wiki"], "left", ["n", "bots"])
+        keyed.join(listed, "wiki", "left")
         .groupBy(
             F.coalesce("language_code", "wiki").alias("language"),
             F.coalesce("project_name", F.lit(default)).alias("project"),

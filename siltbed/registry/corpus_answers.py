@@ -84,17 +84,27 @@ def _(spark, d):
     return corpus.selection_guard(titles, counted)
 
 
+# A corpus request per order: one day, 0..42 pages, every third with two titles.
 @R.query(
     "corpus_id",
-    """SELECT lang, source, substr(sha256(concat_ws('|', lang, source, CAST(count(*) AS VARCHAR))), 1, 24) AS corpus_id
-FROM documents GROUP BY 1, 2""",
+    """WITH r AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+00:00') AS s,
+    strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S+00:00') AS e,
+    CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE o_orderkey % 43 END AS n,
+    CASE WHEN o_orderkey % 3 = 0 THEN concat('|titles=["Order ', CAST(o_orderkey AS VARCHAR), '", "Page"]') ELSE '' END AS t
+  FROM orders)
+SELECT o_orderkey, CASE WHEN n BETWEEN 1 AND 40 THEN substr(sha256(concat(s, '|', e, '|', CAST(n AS VARCHAR),
+  '|enwiki; namespace=0; edit/new; nonempty title; [start,end); count DESC,title ASC', t)), 1, 24) END AS corpus_id FROM r""",
 )
 def _(spark, d):
-    from siltbed.functions.text import short_digest
-
-    groups = tables(spark, d, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"))
-    key = F.concat_ws("|", "lang", "source", F.col("n").cast("string"))
-    return groups.select("lang", "source", short_digest(key).alias("corpus_id"))
+    key = F.col("o_orderkey")
+    start = F.col("o_orderdate").cast("timestamp")
+    titles = F.array(F.lit("Page"), F.concat(F.lit("Order "), key.cast("string")))
+    requests = tables(spark, d, "orders").select(
+        "o_orderkey", start.alias("start_utc"), (start + F.expr("INTERVAL 1 DAY")).alias("end_utc"),
+        F.when(key % 3 == 0, 2).otherwise(key % 43).alias("article_limit"),
+        F.when(key % 3 == 0, titles).alias("titles"),
+    )
+    return corpus.corpus_ids(requests).select("o_orderkey", "corpus_id")
 
 
 # --- page responses ------------------------------------------------------------------------

@@ -24,7 +24,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def disk_state(spark: SparkSession) -> SparkSession:
-    """Keep state on disk instead of the executor heap, unless the session chose a store itself.
+    """Keep state on disk instead of the executor heap, unless the session names another store.
 
     The unbounded form of the duplicate filter remembers every key it has seen.
     """
@@ -50,14 +50,17 @@ def collapse_copies(rows: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def dedup_stream(
-    rows: DataFrame, key: str = KEY, state: str = "unbounded", lateness: str = LATENESS
+    rows: DataFrame, key: str = KEY, state: str = "unbounded", lateness: str = LATENESS,
+    collapse: bool = True,
 ) -> DataFrame:
     """One row per key.
 
     ``unbounded`` recognises copies for ever, as long as they are not late. ``bounded`` forgets a
-    key once the watermark has passed it, so its state stays as large as the lateness.
+    key once the watermark has passed it, so its state stays as large as the lateness. Without
+    ``collapse`` no row passes through Python, but every copy of a key reaches the task of that key.
     """
-    timed = collapse_copies(rows, key).withWatermark(EVENT_TIME, lateness)
+    fewer = collapse_copies(rows, key) if collapse else rows
+    timed = fewer.withWatermark(EVENT_TIME, lateness)
     if state == "bounded":
         return timed.dropDuplicatesWithinWatermark([key])
     if state == "unbounded":
