@@ -39,7 +39,8 @@ def top_per_group(
     """First ``k`` rows of every group.
 
     The filter directly above ``row_number`` lets Spark cut each group to ``k`` rows inside
-    every map task (WindowGroupLimit), so a hot group never reaches a single task whole.
+    every map task (WindowGroupLimit), so a hot group never reaches a single task whole. It does
+    so for ``k`` below ``spark.sql.optimizer.windowGroupLimitThreshold``; raise that for more.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)

@@ -229,7 +229,7 @@ def _(spark, d):
 
 @R.query(
     "batch_metadata",
-    "SELECT wiki_code, 'reference-batch' AS _batch_run_id, 1706745600 AS ingest_epoch FROM (" + _SITES + ")",
+    "SELECT wiki_code, 'reference-batch' AS _batch_run_id, 1706745600::BIGINT AS ingest_epoch FROM (" + _SITES + ")",
 )
 def _(spark, d):
     rows = sites.batch_metadata(sites.flatten_sites(_listings(spark, d)), now=fixed_now())

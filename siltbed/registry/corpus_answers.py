@@ -25,7 +25,7 @@ _ELIGIBLE = f"""eligible AS (SELECT wiki, title, count(*) AS event_count FROM si
   WHERE secs >= epoch_us(TIMESTAMP '{START}') // 1000000 AND secs < epoch_us(TIMESTAMP '{END}') // 1000000
     AND namespace = 0 AND event_type IN ('edit', 'new') AND trim(title) <> '' GROUP BY 1, 2)"""
 _RANKED = f"""{_ELIGIBLE},
-ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY wiki ORDER BY event_count DESC, title) AS "rank"
+ranked AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY wiki ORDER BY event_count DESC, title) AS INTEGER) AS "rank"
   FROM eligible) WHERE "rank" <= 100)"""
 
 
@@ -57,7 +57,7 @@ def _(spark, d):
     "rank_pages_titles",
     on_events(
         f""", {_ELIGIBLE}
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY wiki ORDER BY event_count DESC, title) AS "rank"
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY wiki ORDER BY event_count DESC, title) AS INTEGER) AS "rank"
   FROM eligible WHERE title IN (SELECT concat('Page ', CAST(p_partkey * 3 AS VARCHAR)) FROM part)) WHERE "rank" <= 100"""
     ),
 )
@@ -523,11 +523,47 @@ def _(spark, d):
     )
 
 
-@R.query("chunk_markdown")
+# Packing step by step: a step adds a block, closes a piece, or cuts an oversized line at a blank.
+_PACKED = _MD.replace("WITH md", "WITH RECURSIVE md") + r""", good AS (
+  SELECT num, lang, body, concat('project-doc:docs/ok/', num, '.md') AS document_id,
+    concat('Project documentation: Doc ', num, chr(10), 'File: docs/ok/', num, '.md', chr(10), 'Section: Doc ', num) AS head
+  FROM md WHERE NOT unclosed AND NOT odd_path),
+split AS (SELECT num, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+  FROM (SELECT num, string_split(body, chr(10)) AS l FROM good)),
+blocks AS (SELECT num, row_number() OVER (PARTITION BY num ORDER BY pos) AS i, line FROM split WHERE trim(line) <> ''),
+walk AS (
+  SELECT g.num, 1::BIGINT AS i, b.line AS cur, ''::VARCHAR AS piece, NULL::VARCHAR AS done, 0 AS step,
+    1800 - length(g.head) - length(' > Text') - 2 AS room
+  FROM good g JOIN blocks b ON b.num = g.num AND b.i = 1
+  UNION ALL
+  SELECT w.num, CASE WHEN act = 'add' THEN w.i + 1 ELSE w.i END,
+    CASE act WHEN 'add' THEN b.line WHEN 'cut' THEN regexp_replace(substr(w.cur, cut + 1), '^\s+', '') ELSE w.cur END,
+    CASE WHEN act = 'add' THEN regexp_replace(concat(w.piece, chr(10), chr(10), w.cur), '^\s+|\s+$', '', 'g') ELSE '' END,
+    CASE act WHEN 'add' THEN NULL WHEN 'cut' THEN substr(w.cur, 1, cut) ELSE w.piece END, w.step + 1, w.room
+  FROM (SELECT *, CASE WHEN cur IS NULL OR (piece <> '' AND length(piece) + 2 + length(cur) > room) THEN 'close'
+        WHEN length(cur) > room THEN 'cut' ELSE 'add' END AS act,
+      CASE WHEN length(regexp_extract(substr(cur, 1, room), '(?s)^(.*) ', 1)) >= room // 2
+        THEN length(regexp_extract(substr(cur, 1, room), '(?s)^(.*) ', 1)) ELSE room END AS cut
+    FROM walk WHERE cur IS NOT NULL OR piece <> '') w
+  LEFT JOIN blocks b ON b.num = w.num AND b.i = w.i + 1),
+pieces AS (
+  SELECT num, 0 AS chunk_index, concat(head, chr(10), chr(10), 'Intro ', lang, '.') AS t FROM good
+  UNION ALL SELECT num, 1, concat(head, ' > Query', chr(10), chr(10), 'Run this:', chr(10), chr(10), '```sql', chr(10),
+    '# not a heading', chr(10), chr(10), 'SELECT ', num, ';', chr(10), '```') FROM good
+  UNION ALL SELECT w.num, CAST(1 + row_number() OVER (PARTITION BY w.num ORDER BY w.step) AS INTEGER),
+    concat(g.head, ' > Text', chr(10), chr(10), w.done) FROM walk w JOIN good g USING (num) WHERE w.done IS NOT NULL)
+"""
+
+
+@R.query(
+    "chunk_markdown",
+    _PACKED + """SELECT document_id, chunk_index, sha256(concat_ws('|', 'corpus', document_id, CAST(chunk_index AS VARCHAR))) AS chunk_id,
+  sha256(t) AS content_hash FROM pieces JOIN good USING (num)""",
+)
 def _(spark, d):
     documents = _markdown(spark, d).filter("fault IS NULL")
     return markdown.chunk_markdown(documents, "corpus").select(
-        "document_id", "chunk_index", "chunk_id", "content_hash", "text"
+        "document_id", "chunk_index", "chunk_id", "content_hash"
     )
 
 
@@ -554,7 +590,7 @@ def _vector_questions(spark, d) -> DataFrame:
 _COSINE = """vec AS (SELECT vec_id, label % 3 AS c, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 vector_hits AS (SELECT * FROM (SELECT q.vec_id AS question_id, x.vec_id AS chunk_id,
     round(list_cosine_similarity(q.v, x.v), 6) AS score,
-    row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.v, x.v), 6) DESC, x.vec_id) AS "rank"
+    CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.v, x.v), 6) DESC, x.vec_id) AS INTEGER) AS "rank"
   FROM vec q JOIN benchmark b ON b.item_id = q.vec_id JOIN vec x ON x.c = q.c) WHERE "rank" <= {k})"""
 
 
@@ -600,7 +636,7 @@ scored AS (SELECT a.item_id AS question_id, tf.doc_id AS chunk_id,
     round(sum(ln(1 + (tot.docs - df.df + 0.5) / (df.df + 0.5)) * tf.tf * 2.2
       / (tf.tf + 1.2 * (0.25 + 0.75 * len.n / tot.mean))), 6) AS score
   FROM ask a JOIN tf USING (c, term) JOIN df USING (c, term) JOIN tot USING (c) JOIN len USING (doc_id) GROUP BY 1, 2),
-keyword_hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS "rank"
+keyword_hits AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS INTEGER) AS "rank"
   FROM scored WHERE score > 0) WHERE "rank" <= {k})"""
 
 
@@ -614,7 +650,7 @@ def _(spark, d):
     "WITH " + _COSINE.format(k=10) + ", " + _KEYWORD.format(k=10) + """,
 fused AS (SELECT question_id, chunk_id, round(sum(1.0::DOUBLE / (60 + "rank")), 6) AS score FROM (
   SELECT question_id, chunk_id, "rank" FROM vector_hits UNION ALL SELECT question_id, chunk_id, "rank" FROM keyword_hits) GROUP BY 1, 2)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS "rank" FROM fused)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS INTEGER) AS "rank" FROM fused)
 WHERE "rank" <= 4""",
 )
 def _(spark, d):

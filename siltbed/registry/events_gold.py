@@ -179,7 +179,7 @@ def _(spark, d):
     "decode_inbox",
     on_events(
         """SELECT event_id, 'inbox_recent_change' AS _source, CAST(NULL AS VARCHAR) AS kafka_topic,
-  CAST(NULL AS BIGINT) AS kafka_offset, 1706745600 AS ingested_epoch, '2024-02-01' AS load_date
+  CAST(NULL AS BIGINT) AS kafka_offset, 1706745600::BIGINT AS ingested_epoch, '2024-02-01' AS load_date
 FROM delivered"""
     ),
 )

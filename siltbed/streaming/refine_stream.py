@@ -78,10 +78,13 @@ def clean_stream(
 
 
 def append_sink(
-    rows: DataFrame, path: str, checkpoint: str, every: str | None = None
+    rows: DataFrame, path: str, checkpoint: str, every: str | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Append to Parquet exactly once per checkpoint; drains what is available unless ``every``."""
     writer = rows.writeStream.format("parquet").outputMode("append")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     when = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**when).start()

@@ -12,8 +12,6 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-# Queries without an oracle; test_corpus.py tests this one against brute force.
-NO_ORACLE = {"chunk_markdown"}
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +43,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_registry_is_complete():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_ORACLE
+    assert set(entry.queries()) == set(entry.oracle_sql())
 
 
 def test_flagship(spark):
