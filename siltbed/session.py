@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,12 +38,10 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster the executors
-    would not see it, so an unset folder is an error there.
+    Where that is unset the warehouse serves, as every executor can reach it too. Machine-local
+    temporary folders are never used: on a cluster the other executors would not see them.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="siltbed-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
