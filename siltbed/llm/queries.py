@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import bpe, fingerprints, hilbert, line_spread, mixing, quality_model, token_counts
+from siltbed.llm import (
+    bpe, cap_filters, fingerprints, hilbert, line_spread, mixing, parity_join, quality_model, token_counts,
+)
 from siltbed.llm.common import parquet
 from siltbed.registry.base import Registry
 
@@ -128,6 +130,16 @@ def op4_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_likeness(parquet(spark, sf_dir, "documents"))
 
 
+@R.query("op5_spherical_cap_dedup")
+def op5_spherical_cap_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_vectors(parquet(spark, sf_dir, "embeddings"), 0.95)
+
+
+@R.query("op6_parity_sketch_join")
+def op6_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.near_documents(parquet(spark, sf_dir, "documents"))
+
+
 @R.query("op7_quality_classifier")
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = parquet(spark, sf_dir, "documents"), parquet(spark, sf_dir, "labels")
