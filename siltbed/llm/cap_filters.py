@@ -107,24 +107,39 @@ def _list_filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
+def _met_before(filters: list[np.ndarray], here: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether two vectors share a filter below ``here``, for each of ``one`` with each of ``two``."""
+    lower = [f[f < here] for f in filters]
+    owner = np.repeat(np.arange(len(lower)), [len(f) for f in lower])
+    names, place = np.unique(np.concatenate(lower), return_inverse=True)
+    met = np.zeros((len(one), len(two)), bool)
+    for at in range(0, len(names), 2048):
+        pick = (place >= at) & (place < at + 2048)
+        has = np.zeros((len(lower), min(2048, len(names) - at)), np.float32)
+        has[owner[pick], place[pick] - at] = 1
+        met |= has[one] @ has[two].T > 0
+    return met
+
+
 def _linked(group: dict, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Ids, link counts and labels of the linked vectors of one group; a pair counts in its first shared filter."""
     x = _unit(np.stack(group["v"]))
     halves = np.array(group["side"])
     one, two = np.flatnonzero(halves != 1), np.flatnonzero(halves != 0)
-    near = x[one] @ x[two].T >= similarity - 1e-9
+    product = x[one] @ x[two].T
+    near = product >= similarity - 1e-9
+    edge = np.flatnonzero(near & (product < similarity + 1e-9))
+    if len(edge):  # the last digits of a product depend on the group's shape; these are summed one by one
+        p, q = np.unravel_index(edge, near.shape)
+        near.flat[edge] = [float(np.sum(x[a] * x[b])) >= similarity for a, b in zip(one[p], two[q], strict=True)]
     i, j = np.nonzero(near)
+    counted = ~_met_before(group["filters"], group["filter"], one, two)[i, j]
     i, j = one[i], two[j]
     keep = i < j if (halves == 2).all() else i != j
-    i, j = i[keep], j[keep]
-    # The product is only a first test: its last digits depend on the shape of the group.
-    exact = np.array([float(np.sum(x[a] * x[b])) >= similarity for a, b in zip(i, j, strict=True)], bool)
-    i, j = i[exact], j[exact]
+    i, j, first = i[keep], j[keep], counted[keep]
     if not len(i):
         return None
     ids, weights = np.array(group["id"]), np.array(group["weight"])
-    filters, here = group["filters"], group["filter"]
-    first = np.array([np.intersect1d(filters[a], filters[b], assume_unique=True)[0] == here for a, b in zip(i, j, strict=True)])
     counts = np.bincount(i[first], weights=weights[j[first]], minlength=len(ids))
     counts += np.bincount(j[first], weights=weights[i[first]], minlength=len(ids))
     labels = ids.copy()

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.llm.common import (
@@ -39,6 +39,8 @@ SMALL = 128  # sets up to this size have a part for each shingle
 CROWD = 12  # distinct sets per part that are still joined pair by pair
 PARTS, MARKS, LOUD = 0, 1, 2  # kinds of rows between the stages
 MANY = 1 << 20  # counts as crowded in every part
+BITS = 1024  # of a set's sketch in the second stage
+GROUP_ROWS = 1500  # sets of a crowded part that are held against each other at a time
 BLOCK_BYTES = 4_000_000
 BUCKET_BYTES = 16_000_000
 
@@ -49,11 +51,13 @@ def allowed_difference(size: np.ndarray, top: np.ndarray) -> np.ndarray:
 
 
 def sketch_parts(
-    owner: np.ndarray, hashes: np.ndarray, n: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    owner: np.ndarray, hashes: np.ndarray, n: int, whole: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Owner and hash of the parts that each document of a slice sends, for all its bands.
 
-    Third, the documents whose shingles happen to fill too few parts for the full slack.
+    Third, the number of parts in which the document may differ in that band, times two, plus one
+    if the band is the upper of its two; fourth, the documents whose shingles happen to fill too few
+    parts for the full slack. ``whole`` returns all parts.
     """
     sizes = np.bincount(owner, minlength=n).astype(np.int64)
     out, short = [], np.zeros(n, bool)
@@ -80,12 +84,13 @@ def sketch_parts(
         own, name = own[order], name[order]
         count = np.bincount(own, minlength=n)
         place = np.arange(len(own)) - (np.cumsum(count) - count)[own]
-        sent = allowed_difference(sizes, top) + 1 + sizes // SLACK
+        differ = allowed_difference(sizes, top)
+        sent = differ + 1 + sizes // SLACK
         short |= wanted & (count < sent)
-        keep = place < sent[own]
-        out.append((own[keep], name[keep]))
+        keep = (place < sent[own]) | whole
+        out.append((own[keep], name[keep], 2 * differ[own[keep]] + up))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.flatnonzero(short)
     return *(np.concatenate(c) for c in zip(*out, strict=True)), np.flatnonzero(short)
 
 
@@ -124,7 +129,7 @@ def _send(buckets: int):
             data, offsets = raw_bytes(part.column("t"))
             owner, hashes = shingle_sets(data, offsets, roll, SHINGLE)
             names = set_name(owner, hashes, part.num_rows)
-            own, parts, short = sketch_parts(owner, hashes, part.num_rows)
+            own, parts, _, short = sketch_parts(owner, hashes, part.num_rows)
             held.append((parts, names[own], names[short]))
             size += len(data)
             if size >= BLOCK_BYTES:
@@ -259,7 +264,7 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every part that the given sets send, as rows."""
+    """All parts of the given sets as rows, with the band and number of parts in which a near set may differ."""
     import zstandard
 
     open_ = zstandard.ZstdDecompressor().decompress
@@ -269,33 +274,109 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(at, 64)
             data, offsets = joined([open_(t.as_py()) for t in part.column("t")])
             owner, hashes = shingle_sets(data, offsets, roll, SHINGLE)
-            own, parts, _ = sketch_parts(owner, hashes, part.num_rows)
+            own, parts, differ, _ = sketch_parts(owner, hashes, part.num_rows, whole=True)
             names = part.column("name").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(parts.view(np.int64)), pa.array(names[own])], ["part", "name"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts.view(np.int64)), pa.array(names[own]), pa.array(differ)], ["part", "name", "differ"]
+            )
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A parity sketch of ``BITS`` bits per set: every shingle turns one bit over."""
+    import zstandard
+
+    open_ = zstandard.ZstdDecompressor().decompress
+    roll = RollingHash()
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            data, offsets = joined([open_(t.as_py()) for t in part.column("t")])
+            owner, hashes = shingle_sets(data, offsets, roll, SHINGLE)
+            turns = np.bincount(owner * BITS + (hashes % np.uint64(BITS)).astype(np.int64), minlength=part.num_rows * BITS)
+            bits = np.packbits((turns & 1).astype(np.uint8).reshape(-1, BITS), axis=1)
+            sizes = np.bincount(owner, minlength=part.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("name"), pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(sizes, pa.int64())],
+                ["name", "bits", "size"],
+            )
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs across components whose sketches differ in no more bits than near sets may."""
+    held: list[tuple] = []
+
+    def pairs() -> pa.RecordBatch:
+        side = np.array([r[3] for r in held])
+        name, component, size = (np.array([r[k] for r in held], np.int64) for k in (4, 5, 7))
+        bits = np.frombuffer(b"".join(r[6] for r in held), np.uint64).reshape(len(held), -1)
+        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        found = []
+        for at in range(0, len(one), 64):
+            some = one[at : at + 64]
+            apart = np.zeros((len(some), len(two)), np.int64)
+            for word in range(bits.shape[1]):
+                apart += np.bitwise_count(bits[some, word][:, None] ^ bits[two, word])
+            ok = (apart <= (size[some][:, None] + size[two]) // 7) & (component[some][:, None] != component[two])
+            x, y = np.nonzero(ok)
+            found.append((name[some[x]], name[two[y]]))
+        x, y = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (name[:0], name[:0])
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("part", "i", "j", "side", "name", "component", "bits", "size")]
+        for row in zip(*columns, strict=True):
+            if held and row[:3] != held[0][:3]:
+                yield pairs()
+                held = []
+            held.append(row)
+    if held:
+        yield pairs()
 
 
 def _crowd_links(texts: DataFrame, unsafe: DataFrame, found: DataFrame) -> DataFrame:
     """Links among the sets that have too many crowded parts, in addition to ``found``.
 
-    First every set is held against the smallest set of each of its parts, which connects the
-    large groups. Then only parts that still hold several components give pairs, and only pairs
-    across components.
+    Their parts are all counted now, and of the parts in a band each set keeps its rarest, one more
+    than it may differ in: near sets have one of those in common. What is still crowded belongs to
+    large groups. First every set is held against the smallest set of each of its parts, which
+    connects most of a group; then only parts that still hold several components give pairs, only
+    pairs of a set outside the part's largest component with sets of other components, and only those
+    whose sketches are near enough.
     """
     own = texts.join(unsafe, "name", "left_semi").select("name", "t")
-    spelled = work_table(own.mapInArrow(_spell, "part long, name long"), "parity-parts")
-    stars = spelled.join(spelled.groupBy("part").agg(F.min("name").alias("a")), "part").filter("name > a")
+    spelled = work_table(own.mapInArrow(_spell, "part long, name long, differ long"), "parity-parts")
+    counted = spelled.join(spelled.groupBy("part").agg(F.count("*").alias("n")), "part")
+    rarest = Window.partitionBy("name", "differ").orderBy("n", "part")
+    kept = counted.withColumn("r", F.row_number().over(rarest)).filter("r <= differ div 2 + 1 AND n > 1")
+    kept = work_table(kept.select("part", "name"), "parity-rare")
+    stars = kept.join(kept.groupBy("part").agg(F.min("name").alias("a")), "part").filter("name > a")
     stars = work_table(stars.select("a", F.col("name").alias("b")).distinct(), "parity-stars")
     links = found.unionByName(_linked(stars, texts))
     reached = components(links)
-    placed = spelled.join(reached, spelled["name"] == reached["node"], "left").select(
+    placed = kept.join(reached, kept["name"] == reached["node"], "left").select(
         "part", "name", F.coalesce("component", "name").alias("component")
     )
-    mixed = placed.groupBy("part").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_ = work_table(placed.join(mixed.filter("x <> y").select("part"), "part", "left_semi"), "parity-open")
-    other = open_.select("part", F.col("name").alias("b"), F.col("component").alias("bc"))
-    across = open_.select("part", F.col("name").alias("a"), F.col("component").alias("ac")).join(other, "part")
-    across = across.filter("a < b AND ac <> bc").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    return links.unionByName(_linked(work_table(across, "parity-across"), texts))
+    sizes = placed.groupBy("part", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("part").agg(
+        F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("k"), F.sum("n").alias("n")
+    ).filter("k > 1").select(
+        "part", F.col("top.component").alias("main"),
+        F.ceil((F.col("n") - F.col("top.n")) / GROUP_ROWS).alias("p"), F.ceil(F.col("n") / GROUP_ROWS).alias("q"),
+    )
+    bits = own.mapInArrow(_bitmaps, "name long, bits binary, size long")
+    open_ = work_table(placed.join(main, "part").join(bits, "name"), "parity-open")
+    # Blocks of the sets outside the largest component meet blocks of all sets of the part.
+    columns = ["part", "i", "j", "side", "name", "component", "bits", "size"]
+    place = F.xxhash64("name")
+    one = open_.filter("component <> main").withColumn("i", F.pmod(place, "p")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), F.col("q") - 1))).withColumn("side", F.lit(0))
+    two = open_.withColumn("j", F.pmod(place, "q")).withColumn(
+        "i", F.explode(F.sequence(F.lit(0), F.col("p") - 1))).withColumn("side", F.lit(1))
+    dealt = one.select(columns).unionByName(two.select(columns))
+    dealt = dealt.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "side")
+    across = dealt.mapInArrow(_meet, "a long, b long").distinct()
+    across = work_table(across.join(stars, ["a", "b"], "left_anti"), "parity-across")
+    return links.unionByName(_linked(across, texts))
 
 
 def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
