@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.llm import (
-    bpe, cap_filters, fingerprints, hilbert, line_spread, mixing, parity_join, quality_model, token_counts,
+    bpe, cap_filters, fingerprints, hilbert, line_spread, mixing, parity_join, quality_model, suffix_dedup,
+    token_counts,
 )
 from siltbed.llm.common import parquet
 from siltbed.registry.base import Registry
@@ -125,6 +126,15 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(docs).select("doc_id", "mix_domain", "mix_lang", "mix_source", "n_tokens", "copies")
 
 
+@R.query("op3_difference_cover_dedup")
+def op3_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.drop_repeated_bytes(parquet(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @R.query("op4_weighted_fingerprints")
 def op4_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_likeness(parquet(spark, sf_dir, "documents"))
