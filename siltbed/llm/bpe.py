@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from siltbed.llm.common import distinct_name, raw_bytes, slices
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 120_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -133,30 +133,35 @@ def worker_codec(path: str) -> FragmentCodec:
 
 
 def bpe_encode(
-    rows: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", count: str = "n_tokens"
+    rows: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", count: str = "n_tokens",
+    decoded: str | None = None,
 ) -> DataFrame:
     """``rows`` with ``text`` replaced by its ``ids`` (binary, little-endian unsigned 32-bit) and ``count``.
 
     Equal to the tokenizers library on the whole text without added special tokens. ``vocabulary``
-    is the path of its file, which every executor must be able to read. NULL and empty texts have no
-    ids. No shuffle; memory follows a slice of rows, or the longest text. Other columns pass through;
-    new names that would clash with them are refused.
+    is the path of its file, which every executor must be able to read. ``decoded`` names a column for
+    the text decoded from the ids in the same pass. NULL and empty texts have no ids. No shuffle;
+    memory follows a slice of rows, or the longest text. Other columns pass through; new names that
+    would clash with them are refused.
     """
     others = [c for c in rows.columns if c != text]
-    if {ids.lower(), count.lower()} & {c.lower() for c in others}:
-        raise ValueError(f"The rows already have a column {ids} or {count}")
+    new = [ids, count, *([decoded] if decoded else [])]
+    if {c.lower() for c in new} & {c.lower() for c in others}:
+        raise ValueError(f"The rows already have one of the columns {new}")
     schema = T.StructType([rows.schema[c] for c in others])
     schema = schema.add(ids, T.BinaryType()).add(count, T.LongType())
+    schema = schema.add(decoded, T.StringType()) if decoded else schema
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(vocabulary)
         for part in slices(batches, text):
             found = codec.encode(*raw_bytes(part.column(text)))
-            kept = [part.column(c) for c in others]
-            sizes = [len(x) // 4 for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(found, pa.binary()), pa.array(sizes, pa.int64())], [*others, ids, count]
-            )
+            columns = [part.column(c) for c in others]
+            columns += [pa.array(found, pa.binary()), pa.array([len(x) // 4 for x in found], pa.int64())]
+            if decoded:
+                texts = [codec.decode(np.frombuffer(x, "<u4")) for x in found]
+                columns.append(pa.array(texts, pa.binary()).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, [*others, *new])
 
     return rows.mapInArrow(encode, schema)
 

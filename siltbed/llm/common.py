@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from siltbed.session import work_dir
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 GOLDEN = 0x9E3779B97F4A7C15
 BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2**64
 

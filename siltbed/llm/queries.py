@@ -183,8 +183,7 @@ def op8_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoded(docs: DataFrame) -> DataFrame:
     """Digests of the ids of every text and of the text decoded from them."""
-    ids = bpe.bpe_encode(docs.select("doc_id", "text"), vocabulary())
-    back = bpe.bpe_decode(ids, vocabulary())
+    back = bpe.bpe_encode(docs.select("doc_id", "text"), vocabulary(), decoded="decoded")
     return back.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
