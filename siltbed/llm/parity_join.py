@@ -34,15 +34,15 @@ from siltbed.llm.components import components
 
 SHINGLE = 5
 PER_PART = 1.6  # shingles per part at the top of a band
-SLACK = 16  # a document sends one part more for so many of its shingles
+SLACK = 24  # a document sends one part more for so many of its shingles
 SMALL = 128  # sets up to this size have a part for each shingle
 CROWD = 12  # distinct sets per part that are still joined pair by pair
 PARTS, MARKS, LOUD = 0, 1, 2  # kinds of rows between the stages
 MANY = 1 << 20  # counts as crowded in every part
 BITS = 1024  # of a set's sketch in the second stage
 GROUP_ROWS = 1500  # sets of a crowded part that are held against each other at a time
-BLOCK_BYTES = 4_000_000
-BUCKET_BYTES = 16_000_000
+BLOCK_BYTES = 2_000_000
+BUCKET_BYTES = 6_000_000
 
 
 def allowed_difference(size: np.ndarray, top: np.ndarray) -> np.ndarray:
