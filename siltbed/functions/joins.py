@@ -7,31 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
-
-
-def salted_lookup(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str,
-    salt_by: Sequence[str],
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join a long table to a lookup table on ``on`` without trusting the key distribution.
-
-    No broadcast hint is given: Catalyst and AQE broadcast the lookup only when its measured
-    size is below the session threshold. Otherwise this is a shuffle join in which a hot key
-    is spread over ``salts`` tasks, as the lookup is repeated once per salt. The salt is a hash
-    of row values, so a recomputed task sends its rows to the same places.
-    Only for join types that keep or drop rows of the left side.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"salted_lookup cannot do a {how} join")
-    left = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
-
 
 def top_per_group(
     rows: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank"

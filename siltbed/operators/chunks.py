@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.functions.joins import salted_lookup
 from siltbed.functions.plans import once
 from siltbed.functions.text import digest, iso_utc, short_digest
 from siltbed.operators.merge import merge_plan
@@ -22,7 +21,7 @@ MANIFEST_FLOW = {
     "PREPARED": ("PREPARING",),
     "FAILED": ("PREPARING",),
     "SYNCING": ("PREPARED", "READY"),
-    "READY": ("SYNCING", "READY"),
+    "READY": ("PREPARED", "SYNCING", "READY"),
     "SYNC_FAILED": ("SYNCING",),
 }
 
@@ -81,9 +80,8 @@ def generation(chunks: DataFrame) -> DataFrame:
 def with_generation(chunks: DataFrame) -> DataFrame:
     """Chunks labelled with the version of their corpus."""
     versions = generation(chunks).select("corpus_id", "generation")
-    return salted_lookup(
-        chunks.drop("generation"), versions, ["corpus_id"], "inner", ["chunk_id"]
-    )
+    # Read once: with a constant corpus id Catalyst would drop the key and pair all rows.
+    return chunks.drop("generation").join(once(versions, "corpus_id", F.col("corpus_id")), ["corpus_id"])
 
 
 def base_gate(chunks: DataFrame, manifest: DataFrame, base: str) -> DataFrame:
@@ -176,7 +174,8 @@ def manifest_faults(manifest: DataFrame, changes: DataFrame) -> DataFrame:
     ]
     was = manifest.select("corpus_id", F.col("status").alias("_was"))
     joined = changes.join(was, "corpus_id", "left")
-    return joined.filter(~reduce(lambda a, b: a | b, steps)).select(
+    allowed = F.coalesce(reduce(lambda a, b: a | b, steps), F.lit(False))  # a NULL status is none
+    return joined.filter(~allowed).select(
         "corpus_id", F.col("_was").alias("from_status"), "status"
     )
 

@@ -10,7 +10,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.functions.joins import salted_lookup, top_per_group
+from siltbed.functions.joins import top_per_group
 from siltbed.functions.plans import once
 from siltbed.functions.text import digest, short_digest, strip
 
@@ -18,7 +18,6 @@ from siltbed.functions.text import digest, short_digest, strip
 RULES = "enwiki; namespace=0; edit/new; nonempty title; [start,end); count DESC,title ASC"
 DEFAULT_WIKI = "enwiki"
 ELIGIBLE_TYPES = ("edit", "new")
-MAX_ARTICLES, MAX_ATTEMPTS = 40, 100
 PAGE_HOST, PAGE_PATH, PAGE_TYPE = "en.wikipedia.org", "/wiki/", "standard"
 SUMMARY_TYPE = "wikipedia_summary"
 REFRESH = ("missing", "expired", "force")
@@ -49,8 +48,8 @@ def checked_titles(titles: Sequence[str] | None, limit: int) -> list[str]:
 def corpus_id(start: str, end: str, limit: int, titles: Sequence[str] | None = None) -> str:
     """Identity of a corpus: a digest of everything that selects its pages."""
     first, last = utc_interval(start, end)
-    if limit < 1 or limit > MAX_ARTICLES:
-        raise ValueError(f"The article limit is 1..{MAX_ARTICLES}")
+    if limit < 1:
+        raise ValueError("The article limit is at least 1")
     parts = [first.isoformat(), last.isoformat(), str(limit), RULES]
     chosen = checked_titles(titles, limit)
     if chosen:
@@ -77,7 +76,7 @@ def corpus_ids(requests: DataFrame) -> DataFrame:
     )
     valid = (
         (F.col("start_utc") < F.col("end_utc"))
-        & F.col("article_limit").between(1, MAX_ARTICLES)
+        & (F.col("article_limit") >= 1)
         & ((F.size(titles) == 0) | chosen)
     )
 
@@ -119,9 +118,7 @@ def rank_pages(
     """Most active pages, of one wiki or (``wiki=None``) of every wiki separately."""
     rows = eligible_events(events, start, end, wiki)
     if titles is not None:
-        rows = salted_lookup(
-            rows, titles.select("title").distinct(), ["title"], "left_semi", ["event_id"]
-        )
+        rows = rows.join(titles.select("title"), ["title"], "left_semi")
     counts = rows.groupBy("wiki", "title").agg(F.count("*").alias("event_count"))
     order = [F.desc("event_count"), F.asc("title")]
     if wiki is not None:
@@ -222,15 +219,18 @@ def cache_policy(
 
 
 def select_documents(
-    ranked: DataFrame, lookups: DataFrame, limit: int, budget: int = MAX_ATTEMPTS
+    ranked: DataFrame, lookups: DataFrame, limit: int, budget: int
 ) -> DataFrame:
     """Walk each wiki's ranked pages until ``limit`` distinct documents are found.
 
     ``ranked``: ``wiki, title, rank`` (at most the cap of ``rank_pages`` rows per wiki, so the
-    windows are bounded). ``lookups``: ``title, document_id, cached``; a NULL document is
-    unusable. Each page that is not cached costs one attempt of ``budget``.
+    windows are bounded). ``lookups``: ``wiki, title, document_id, cached``, one row per page; a
+    NULL document is unusable. Each page that is not cached costs one attempt of ``budget``, which
+    is at least ``limit``.
     """
-    found = ranked.join(lookups, "title", "left")
+    if budget < limit:
+        raise ValueError("The budget must allow as many attempts as documents are wanted")
+    found = ranked.join(lookups, ["wiki", "title"], "left")
     walk = Window.partitionBy("wiki").orderBy("rank")
     same = Window.partitionBy("wiki", "document_id").orderBy("rank")
     usable = F.col("document_id").isNotNull()

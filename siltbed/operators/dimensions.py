@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.functions.languages import language_name
-from siltbed.functions.joins import salted_lookup
 
 UNKNOWN = "unknown"
 DEFAULT_PROJECT = "Wikipedia"
@@ -93,10 +92,7 @@ def dim_project(
             F.lower("language_code").alias("_code"), F.col("language_name").alias("_name")
         )
         named = (
-            salted_lookup(
-                projects.withColumn("_code", F.lower("language_code")), listed, ["_code"], "left",
-                ["project_key"],
-            )
+            projects.withColumn("_code", F.lower("language_code")).join(listed, ["_code"], "left")
             .withColumn("language_name", F.coalesce("_name", language_name(F.col("language_code"))))
             .drop("_code", "_name")
         )

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.functions.joins import salted_lookup
 from siltbed.operators.dimensions import UNKNOWN, date_key
 from siltbed.operators.parse import absolute, byte_delta
 
@@ -27,7 +26,7 @@ def fact_edits(clean: DataFrame, projects: DataFrame, now: Column | None = None)
     codes = projects.select(
         F.coalesce("wiki_code", F.lit(UNKNOWN)).alias("_code"), "project_key"
     ).dropDuplicates(["_code"])
-    joined = salted_lookup(events, codes, ["_code"], "left", ["event_id", "event_time"])
+    joined = events.join(codes, ["_code"], "left")
     change = byte_delta(F.col("length_old"), F.col("length_new"))
     return joined.select(
         "event_id",

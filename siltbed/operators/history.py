@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.functions.joins import null_safe_equal, salted_lookup
+from siltbed.functions.joins import null_safe_equal
 
 START, END = "__START_AT", "__END_AT"
 # Key and tracked columns of the project list.
@@ -83,7 +83,7 @@ def scd2_from_snapshots(
     # The distinct version numbers are few (one per snapshot), whatever the size of a snapshot.
     order = Window.orderBy(version)
     calendar = snapshots.select(version).distinct().withColumn("_next", F.lead(version).over(order))
-    dated = salted_lookup(snapshots, calendar, [version], "inner", list(keys))
+    dated = snapshots.join(calendar, [version], "inner")
     per_key = Window.partitionBy(*keys).orderBy(version)
     before = {c: F.lag(c).over(per_key) for c in tracked}
     unchanged = F.lag("_next").over(per_key).eqNullSafe(F.col(version))

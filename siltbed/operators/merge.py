@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.functions.joins import null_safe_equal, salted_lookup
+from siltbed.functions.joins import null_safe_equal
 
 ACTION = "_action"
 INSERT, UPDATE, UNCHANGED, KEEP, DELETE = "insert", "update", "unchanged", "keep", "delete"
@@ -68,7 +68,7 @@ def replace_within(
     """
     scopes = source.select(scope).distinct().withColumn("_replaced", F.lit(True))
     plan = merge_plan(target, source, keys)
-    marked = salted_lookup(plan, scopes, [scope], "left", list(keys))
+    marked = plan.join(scopes, [scope], "left")
     gone = (F.col(ACTION) == KEEP) & F.col("_replaced").isNotNull()
     return marked.withColumn(ACTION, F.when(gone, DELETE).otherwise(F.col(ACTION))).drop("_replaced")
 

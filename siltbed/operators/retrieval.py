@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.functions.joins import salted_lookup, top_per_group
+from siltbed.functions.joins import top_per_group
 from siltbed.functions.plans import once
 from siltbed.functions.text import words
 
@@ -87,7 +87,7 @@ def _blocked(
     both = sizes(questions, question_block, "_nq").join(sizes(chunks, chunk_block, "_nc"), CORPUS)
 
     def spread(rows: DataFrame, own: str, other: str, own_block: str, other_block: str, id_: str) -> DataFrame:
-        sized = salted_lookup(rows, both, CORPUS, "inner", [id_])
+        sized = rows.join(both, CORPUS, "inner")
         return sized.withColumns(
             {
                 own_block: F.pmod(F.xxhash64(id_), F.col(own)).cast("int"),
@@ -136,13 +136,19 @@ def retrieve_vector(
     """Best chunks by cosine similarity.
 
     Both frames carry ``corpus_id``, ``generation`` and ``embedding``; questions a
-    ``question_id``, chunks a ``chunk_id``.
+    ``question_id``, chunks a ``chunk_id``. Rows whose embedding is NULL or empty have no result;
+    ``without_vector`` lists them.
     """
-    qs = questions.select("question_id", *CORPUS, "embedding")
-    cs = chunks.select("chunk_id", *CORPUS, "embedding")
+    qs = questions.select("question_id", *CORPUS, "embedding").filter(F.size("embedding") > 0)
+    cs = chunks.select("chunk_id", *CORPUS, "embedding").filter(F.size("embedding") > 0)
     return _retrieve(qs, cs, _cosine, k, -1.0, small, question_block, chunk_block)
 
 
+def without_vector(rows: DataFrame) -> DataFrame:
+    """Rows that vector search has to leave out."""
+    return rows.filter(F.coalesce(F.size("embedding") <= 0, F.lit(True)))
+
+
 def term_counts(chunks: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
     """Term frequency per chunk with the chunk's length, optionally for a vocabulary only."""
     listed = once(chunks, "_words", words(F.col("text")))
@@ -150,7 +156,7 @@ def term_counts(chunks: DataFrame, vocabulary: DataFrame | None = None) -> DataF
         "chunk_id", *CORPUS, F.size("_words").alias("length"), F.explode("_words").alias("term")
     )
     if vocabulary is not None:
-        terms = salted_lookup(terms, vocabulary, ["term"], "left_semi", ["chunk_id"])
+        terms = terms.join(vocabulary, ["term"], "left_semi")
     return terms.groupBy("chunk_id", *CORPUS, "length", "term").agg(F.count("*").alias("tf"))
 
 
@@ -193,7 +199,7 @@ def retrieve_keyword(
     stats = spread.join(totals, CORPUS).select(*CORPUS, "term", "_mean", idf.alias("_idf"))
     # Every count has its statistics, so a left join is enough. Its build side is always the
     # statistics: the size of the counts is underestimated, as they come out of an explode.
-    weighed = salted_lookup(counts, stats, [*CORPUS, "term"], "left", ["chunk_id"])
+    weighed = counts.join(stats, [*CORPUS, "term"], "left")
     damping = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / F.col("_mean"))
     weight = F.col("_idf") * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damping)
     rows = (

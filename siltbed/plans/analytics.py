@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.functions.joins import salted_lookup
 from siltbed.operators.dimensions import UNKNOWN
 from siltbed.operators.facts import BOT_KEY
 
@@ -130,7 +129,7 @@ def most_edited_pages(facts: DataFrame, projects: DataFrame, k: int = 20) -> Dat
     )
     codes = projects.select("project_key", "wiki_code")
     return (
-        salted_lookup(pages, codes, ["project_key"], "inner", ["title"])
+        pages.join(codes, ["project_key"], "inner")
         .select("wiki_code", "title", "edits", "net_bytes")
         .orderBy(F.desc("edits"), F.asc_nulls_first("wiki_code"), F.asc_nulls_first("title"))
         .limit(k)

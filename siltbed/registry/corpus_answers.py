@@ -92,7 +92,7 @@ def _(spark, d):
     CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE o_orderkey % 43 END AS n,
     CASE WHEN o_orderkey % 3 = 0 THEN concat('|titles=["Order ', CAST(o_orderkey AS VARCHAR), '", "Page"]') ELSE '' END AS t
   FROM orders)
-SELECT o_orderkey, CASE WHEN n BETWEEN 1 AND 40 THEN substr(sha256(concat(s, '|', e, '|', CAST(n AS VARCHAR),
+SELECT o_orderkey, CASE WHEN n >= 1 THEN substr(sha256(concat(s, '|', e, '|', CAST(n AS VARCHAR),
   '|enwiki; namespace=0; edit/new; nonempty title; [start,end); count DESC,title ASC', t)), 1, 24) END AS corpus_id FROM r""",
 )
 def _(spark, d):
@@ -217,18 +217,22 @@ def _(spark, d):
 
 
 def _selected(spark, d) -> DataFrame:
-    """Page ``n`` is answered by document ``n``; three pages share one canonical document."""
+    """Page ``n`` is answered by document ``n`` of its wiki; three pages share one canonical document."""
     doc = F.col("doc_id")
-    lookups = tables(spark, d, "documents").select(
-        F.concat(F.lit("Page "), doc.cast("string")).alias("title"),
-        F.when(doc % 7 != 2, F.floor(doc / 3)).alias("document_id"),
+    ranked = _ranked(spark, d)
+    pages = tables(spark, d, "documents").select(
+        F.concat(F.lit("Page "), doc.cast("string")).alias("title"), "doc_id"
+    )
+    lookups = ranked.select("wiki", "title").join(pages, "title").select(
+        "wiki", "title",
+        F.when(doc % 7 != 2, F.floor(doc / (2 + F.length("wiki") % 3))).alias("document_id"),
         (doc % 4 == 0).alias("cached"),
     )
-    return corpus.select_documents(_ranked(spark, d), lookups, limit=12, budget=18)
+    return corpus.select_documents(ranked, lookups, limit=12, budget=18)
 
 
 _SELECTED = f"""{_RANKED},
-found AS (SELECT r.wiki, r.title, r."rank", CASE WHEN d.doc_id % 7 <> 2 THEN d.doc_id // 3 END AS document_id,
+found AS (SELECT r.wiki, r.title, r."rank", CASE WHEN d.doc_id % 7 <> 2 THEN d.doc_id // (2 + length(r.wiki) % 3) END AS document_id,
     CASE WHEN d.doc_id % 4 = 0 THEN 0 ELSE 1 END AS cost
   FROM ranked r LEFT JOIN documents d ON r.title = concat('Page ', CAST(d.doc_id AS VARCHAR))),
 firsts AS (SELECT *, document_id IS NOT NULL
@@ -400,7 +404,7 @@ _NEXT = "CASE c_custkey % 3 WHEN 0 THEN 'READY' WHEN 1 THEN 'PREPARING' ELSE 'SY
 _FLOW = f"""WITH m AS (SELECT c_custkey, concat('c', CAST(c_custkey AS VARCHAR)) AS corpus_id, {_STATUS} AS was, {_NEXT} AS nxt,
     c_custkey % 4 <> 0 AS here FROM customer),
 judged AS (SELECT *, CASE nxt WHEN 'PREPARING' THEN true
-    WHEN 'READY' THEN here AND was IN ('SYNCING', 'READY')
+    WHEN 'READY' THEN here AND was IN ('PREPARED', 'SYNCING', 'READY')
     ELSE here AND was IN ('PREPARED', 'READY') END AS fine FROM m)
 """
 

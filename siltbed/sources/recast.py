@@ -39,24 +39,10 @@ BROKEN_TEXT = "e % 211 = 0"
 TWICE = "e % 50 = 1"
 
 
-# Tables whose rows are expensive to work on (JSON and long texts).
-HEAVY = ("events", "documents")
-
-
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table; the session is pinned to UTC first."""
     rows = pin_session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows) if name in HEAVY else rows
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Give idle cores a share of a table that is one small file.
-
-    A table with at least as many input splits as there are cores is left as it is, so a large
-    table is never shuffled here.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    return rows
 
 
 def event_base(spark: SparkSession, sf_dir: str) -> DataFrame:

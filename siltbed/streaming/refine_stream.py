@@ -6,9 +6,8 @@ a sink, and rejected rows must not be deduplicated, so one query cannot feed bot
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,34 +32,16 @@ def disk_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def collapse_copies(rows: DataFrame, key: str = KEY) -> DataFrame:
-    """Drop copies of a key inside each Arrow batch, before rows are sent to their state.
-
-    A stream cannot pre-aggregate a stateful filter, so a key replayed over and over would send
-    every copy to one task; after this step it sends one per batch.
-    """
-
-    def first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbered = pa.table({"key": batch.column(key), "row": pa.array(range(batch.num_rows))})
-            first = numbered.group_by("key").aggregate([("row", "min")])["row_min"]
-            yield batch.take(first.combine_chunks().sort())
-
-    return rows.mapInArrow(first_copies, rows.schema)
-
-
 def dedup_stream(
-    rows: DataFrame, key: str = KEY, state: str = "unbounded", lateness: str = LATENESS,
-    collapse: bool = True,
+    rows: DataFrame, key: str = KEY, state: str = "bounded", lateness: str = LATENESS
 ) -> DataFrame:
     """One row per key.
 
-    ``unbounded`` recognises copies for ever, as long as they are not late. ``bounded`` forgets a
-    key once the watermark has passed it, so its state stays as large as the lateness. Without
-    ``collapse`` no row passes through Python, but every copy of a key reaches the task of that key.
+    ``bounded`` forgets a key once the watermark has passed it, so its state stays as large as the
+    lateness. ``unbounded`` recognises copies for ever, as long as they are not late. Nothing is
+    dropped before the watermark has seen it: a late copy must not displace one that is on time.
     """
-    fewer = collapse_copies(rows, key) if collapse else rows
-    timed = fewer.withWatermark(EVENT_TIME, lateness)
+    timed = rows.withWatermark(EVENT_TIME, lateness)
     if state == "bounded":
         return timed.dropDuplicatesWithinWatermark([key])
     if state == "unbounded":
@@ -69,7 +50,7 @@ def dedup_stream(
 
 
 def clean_stream(
-    flagged: DataFrame, state: str = "unbounded", valid_first: bool = True
+    flagged: DataFrame, state: str = "bounded", valid_first: bool = True
 ) -> DataFrame:
     """Valid rows, one per key. Valid-first also keeps invalid clocks out of the watermark."""
     if valid_first:
@@ -91,9 +72,14 @@ def append_sink(
 
 
 def drain(queries: list[StreamingQuery]) -> None:
-    """Wait for triggered queries; a failure of one is raised."""
-    for query in queries:
-        query.awaitTermination()
+    """Wait for triggered queries; if one fails the others are stopped before the failure is raised."""
+    try:
+        for query in queries:
+            query.awaitTermination()
+    except BaseException:
+        for query in queries:
+            query.stop()
+        raise
 
 
 def stream_refine(
@@ -102,7 +88,7 @@ def stream_refine(
     out: str,
     checkpoints: str,
     rules: Mapping[str, str] = EVENT_RULES,
-    state: str = "unbounded",
+    state: str = "bounded",
     valid_first: bool = True,
     max_files: int | None = None,
 ) -> tuple[str, str]:

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from siltbed.registry import all_registries
 
 DATA = "/root/testdata/sf0.001"
 TABLES = (
@@ -33,7 +34,7 @@ def rows(names, found):
     return sorted(([plain(r[i]) for i in order] for r in found), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(n for r in all_registries() for n in r.oracles))
 def test_query_matches_oracle(spark, duck, name):
     frame = entry.queries()[name](spark, DATA)
     cursor = duck.execute(entry.oracle_sql()[name])
@@ -43,7 +44,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_registry_is_complete():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    for registry in all_registries():
+        assert set(registry.queries) == set(registry.oracles)
 
 
 def test_flagship(spark):

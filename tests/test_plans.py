@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from siltbed.functions.joins import SALTS, salted_lookup, top_per_group
+from siltbed.functions.joins import top_per_group
+from siltbed.registry import all_registries
 from siltbed.operators import chunks, facts
 from siltbed.operators.dedup import dedup_batch
 from siltbed.registry import events_gold
@@ -18,7 +19,8 @@ PYTHON = {
     "md_sections", "md_blocks", "chunk_markdown", "retrieve_vector", "retrieve_vector_blocks",
     "retrieve_keyword", "retrieve_hybrid",
 }
-LAZY = [n for n in entry.queries() if not EAGER.search(n)]
+LIBRARY = {n: q for r in all_registries() for n, q in r.queries.items()}
+LAZY = [n for n in LIBRARY if not EAGER.search(n)]
 
 
 def plan(frame):
@@ -38,7 +40,7 @@ def no_broadcast(spark):
 
 def test_no_cross_joins_and_no_row_at_a_time_python(spark, no_broadcast):
     for name in LAZY:
-        text = plan(entry.queries()[name](spark, DATA))
+        text = plan(LIBRARY[name](spark, DATA))
         assert "CartesianProduct" not in text and "NestedLoopJoin" not in text, name
         assert "BatchEvalPython" not in text, name
         if name not in PYTHON:
@@ -72,37 +74,16 @@ def test_duplicates_and_top_k_are_cut_before_the_shuffle(spark):
         assert "WindowGroupLimit" in below and text.count("WindowGroupLimit") >= 2
 
 
-def largest_task(frame):
-    """Rows in the fullest task of the frame as it is partitioned now."""
-    # The partition id is read before the rows are shuffled for the count.
-    return frame.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
-
-
-def test_hot_key_is_spread_over_salts(spark, no_broadcast):
-    n = 40_000
-    hot = F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50))
-    rows = spark.range(n).select(hot.alias("k"), "id")
-    lookup = rows.select("k").distinct().withColumn("v", F.length("k"))
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "200")
+def test_lookups_are_broadcast_by_size_only(spark):
+    """Below the threshold a lookup is broadcast; just above it both sides are shuffled."""
+    clean = events_gold.silver(spark, DATA)
+    projects = events_gold.projects(spark, DATA)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        joined = salted_lookup(rows, lookup, ["k"], "inner", ["id"])
-        assert largest_task(rows.join(lookup, "k")) > n * 0.6
-        assert largest_task(joined) < n / SALTS * 3
-        assert joined.count() == n and joined.filter("v IS NULL").isEmpty()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        assert "BroadcastHashJoin" not in plan(facts.fact_edits(clean, projects))
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    with pytest.raises(ValueError):
-        salted_lookup(rows, lookup, ["k"], "full", ["id"])
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_lookup_equals_the_plain_join(spark, no_broadcast, how):
-    rows = spark.range(200).select((F.col("id") % 20).alias("k"), "id")
-    rows = rows.withColumn("k", F.when(F.col("id") % 9 > 0, F.col("k")))
-    lookup = spark.range(12).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    a, b = salted_lookup(rows, lookup, ["k"], how, ["id"]), rows.join(lookup, "k", how)
-    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_fact_join_is_whole_on_the_shuffle_path(spark, no_broadcast):

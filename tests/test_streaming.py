@@ -98,13 +98,18 @@ def test_valid_first_ignores_invalid_clocks(spark, tmp_path):
     assert found[True] == ["a", "b", "c"] and found[False] == ["a", "b"]
 
 
-def test_copies_collapse_before_the_shuffle(spark):
-    rows = spark.range(10_000).select((F.col("id") % 3).cast("string").alias(KEY), "id").coalesce(1)
-    kept = rs.collapse_copies(rows).collect()
-    batches = -(-10_000 // int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
-    assert {r[KEY] for r in kept} == {"0", "1", "2"} and len(kept) <= 3 * batches
+def test_a_late_copy_does_not_displace_one_on_time(spark, tmp_path):
+    """Batches of one file: the last holds a late and a timely copy of one key."""
+    for batch in ([event("a", 100)], [event("b", 101)], [event("k", 1), event("k", 102)]):
+        land(spark, tmp_path / "in", batch)
+    clean, _ = rs.stream_refine(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"), max_files=1)
+    assert keys(spark, clean) == ["a", "b", "k"]
+
+
+def test_unknown_state_and_plans_without_python(spark):
+    rows = spark.createDataFrame([("k", 1)], f"{KEY} string, id int")
     with pytest.raises(ValueError):
-        rs.dedup_stream(rows, state="sometimes")
+        rs.dedup_stream(rows.withColumn("event_time", F.current_timestamp()), state="sometimes")
 
 
 def test_staged_form_and_windows(spark, tmp_path):
