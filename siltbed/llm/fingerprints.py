@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltbed.llm.common import BASE, GOLDEN, RollingHash, joined, mix, slices, task_count, word_spans
 
@@ -118,7 +119,7 @@ def fingerprints(
     """
     if out.lower() in {c.lower() for c in rows.columns}:
         raise ValueError(f"The rows already have a column {out}")
-    schema = rows.schema.add(out, "string")
+    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll, known = RollingHash(), DrawTable(samples)
