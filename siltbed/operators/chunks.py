@@ -80,8 +80,9 @@ def generation(chunks: DataFrame) -> DataFrame:
 def with_generation(chunks: DataFrame) -> DataFrame:
     """Chunks labelled with the version of their corpus."""
     versions = generation(chunks).select("corpus_id", "generation")
-    # Read once: with a constant corpus id Catalyst would drop the key and pair all rows.
-    return chunks.drop("generation").join(once(versions, "corpus_id", F.col("corpus_id")), ["corpus_id"])
+    # Read once on both sides: from a constant corpus id Catalyst would make a filter and pair all rows.
+    rows, versions = (once(f, "corpus_id", F.col("corpus_id")) for f in (chunks.drop("generation"), versions))
+    return rows.join(versions, ["corpus_id"])
 
 
 def base_gate(chunks: DataFrame, manifest: DataFrame, base: str) -> DataFrame:
