@@ -2,7 +2,8 @@
 
 Names come from the CLDR data inside the ICU library that Spark ships, so the table is a rule
 instead of a list. The exceptions below are the codes whose published name differs from CLDR's,
-or that CLDR does not know.
+or that CLDR does not know. A published table that names fewer codes is given as a parameter of
+``dimensions.dim_project``.
 """
 
 from __future__ import annotations
@@ -48,26 +49,16 @@ NAME_EXCEPTIONS = {
     "ckb": "Central Kurdish (Sorani)",
     "cu": "Old Church Slavonic",
     "isv": "Interslavic",
+    "als": "ISO: ALS",  # the projects of this code are not in the language that CLDR names
     "unknown": "Other / Technical",
 }
-# Codes with a CLDR name that are nevertheless shown as "ISO: <CODE>".
-UNNAMED_CODES = (
-    "aa ady ae als alt ami ann anp as atj avk awa ay bdr bew bh bho blk bpy btm bxr cdo ch cho chr "
-    "chy cr crh dag dga din dtp dty ext fat gag gan gcr glk gn gom gor guc gur guw hak hif ho ht "
-    "hz iba igl ii ik iu jam kaa kbd kbp kcg kge ki kj kl knc kr krj ks kus lad lbe lrc ltg lzh "
-    "mai mh mni mnw mo mt mus mwl mzn na nah new ng nia nrm nso nup nv olo or pap "
-    "pcd pcm pdc pih pnb pnt pwn qu rki rmy sat sco sd sgs sh shn skr sms srn syl szy tay tcy tdd "
-    "tig tly trv ty vro wa za zea"
-).split()
-
 ICU_CLASS, ICU_METHOD = "com.ibm.icu.util.ULocale", "getDisplayLanguage"
 
 
 def language_name(code: Column) -> Column:
-    """English name of a language code; unknown codes become ``ISO: <CODE>``."""
+    """English name of a language code; codes without a name become ``ISO: <CODE>``."""
     lowered = F.lower(code)
-    unnamed = F.array_contains(F.split(F.lit(" ".join(UNNAMED_CODES)), " "), lowered)
-    plain = F.when(lowered.rlike("^[a-z]{2,3}$") & ~unnamed, lowered)
+    plain = F.when(lowered.rlike("^[a-z]{2,3}$"), lowered)
     # The ICU method takes no NULL; the name of an empty code is empty and never used.
     known = F.coalesce(plain, F.lit(""))
     icu = F.reflect(F.lit(ICU_CLASS), F.lit(ICU_METHOD), known, F.lit("en"))

@@ -29,9 +29,9 @@ def reference(spark):
 def clean(spark):
     return spark.createDataFrame(
         [
-            (1, "enwiki", True, "editor", "Page", NOW, NOW, 10, 25, True),
-            (2, "missing", False, "editor2", "Other", NOW, NOW, 20, 10, False),
-            (3, None, None, None, None, None, NOW, None, 10, None),
+            (71, "enwiki", True, "Sweeper", "Canal", NOW, NOW, 400, 431, True),
+            (72, "nowhere", False, "Mira", "Bridge", NOW, NOW, 96, 52, False),
+            (73, None, None, None, None, None, NOW, None, 8, None),
         ],
         CLEAN,
     )
@@ -65,7 +65,7 @@ def test_calendar_bounds_cover_whole_years(spark):
         ("no", "Norwegian (Bokmål)"), ("be-tarask", "Belarusian (Taraškievica)"), ("nqo", "N'Ko"),
         ("unknown", "Other / Technical"), ("commons", "ISO: COMMONS"), ("zz", "ISO: ZZ"),
         ("zh-classical", "ISO: ZH-CLASSICAL"), ("als", "ISO: ALS"), ("vo", "Volapük"),
-        ("ckb", "Central Kurdish (Sorani)"), ("tok", "Toki Pona"),
+        ("ckb", "Central Kurdish (Sorani)"), ("tok", "Toki Pona"), ("ia", "Interlingua"), ("bho", "Bhojpuri"),
     ],
 )
 def test_language_names(spark, code, name):
@@ -82,11 +82,11 @@ def test_facts(spark):
     projects, _, rows = star(spark)
     found = {r.event_id: r for r in rows.collect()}
     keys = {r.wiki_code: r.project_key for r in projects.collect()}
-    assert found[1].project_key == keys["enwiki"] and found[1].editor_type_key == 1
-    assert found[2].project_key == found[3].project_key == keys["unknown"]
-    assert found[1].byte_change == 15 and found[2].abs_byte_change == 10
-    assert found[3].byte_change is None and found[3].is_minor_edit is False
-    assert found[3].date_key == 20240502 and found[3].editor_type_key == 2
+    assert (found[71].project_key, found[71].editor_type_key) == (keys["enwiki"], 1)
+    assert {found[n].project_key for n in (72, 73)} == {keys["unknown"]}
+    assert (found[71].byte_change, found[72].abs_byte_change) == (31, 44)
+    assert found[73].byte_change is None and found[73].is_minor_edit is False
+    assert (found[73].date_key, found[73].editor_type_key) == (20240502, 2)
 
 
 def test_checks_pass_then_fail_when_corrupted(spark):
