@@ -85,30 +85,34 @@ def with_generation(chunks: DataFrame) -> DataFrame:
     return rows.join(versions, ["corpus_id"])
 
 
-def base_gate(chunks: DataFrame, manifest: DataFrame, base: str) -> DataFrame:
+def base_gate(chunks: DataFrame, manifest: DataFrame, base: str, documents: DataFrame) -> DataFrame:
     """One row: may this corpus be the base of a combined one?
 
-    It must be READY, hold exactly the chunks and documents its manifest promises, and contain
-    no project documents.
+    It must be READY, hold in the manifest's generation as many chunks and documents as promised,
+    just the documents of the set ``documents`` (``document_id``), and no project documents.
+    Chunks of other generations do not count.
     """
-    held = chunks.filter(F.col("corpus_id") == base)
+    row = manifest.filter(F.col("corpus_id") == base).select(
+        "generation", "status", "chunk_count", "document_count"
+    )
+    held = chunks.filter(F.col("corpus_id") == base).join(row.select("generation"), ["generation"], "left_semi")
     counted = held.agg(
         F.count("*").alias("chunks"),
         F.countDistinct("document_id").alias("documents"),
         F.count_if(F.col("document_type") == PROJECT_TYPE).alias("project_chunks"),
     )
-    row = manifest.filter(F.col("corpus_id") == base).select(
-        "status", "chunk_count", "document_count"
-    )
-    merged = counted.unionByName(row, allowMissingColumns=True).agg(
-        *[
-            F.max(c).alias(c)
-            for c in ("chunks", "documents", "project_chunks", "status", "chunk_count", "document_count")
-        ]
+    have, want = (rows.select("document_id").distinct() for rows in (held, documents))
+    extra, missing = (x.join(y, ["document_id"], "left_anti") for x, y in ((have, want), (want, have)))
+    unmatched = extra.union(missing).agg(F.count("*").alias("unmatched_documents"))
+    parts = [counted, unmatched, row.drop("generation")]
+    names = [c for part in parts for c in part.columns]
+    merged = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts).agg(
+        *[F.max(c).alias(c) for c in names]
     )
     good = (
         (F.col("status") == "READY")
         & (F.col("project_chunks") == 0)
+        & (F.col("unmatched_documents") == 0)
         & (F.col("chunks") == F.col("chunk_count"))
         & (F.col("documents") == F.col("document_count"))
     )

@@ -365,18 +365,30 @@ def _(spark, d):
     )
 
 
+# The manifest names the second generation, which lacks the documents of one language; "wrong set" promises them.
 @R.query(
     "base_gate",
-    f"""WITH {_PIECES} SELECT count(*) AS chunks, count(DISTINCT document_id) AS documents, 0::BIGINT AS project_chunks,
-  'READY' AS status, count(*) AS chunk_count, count(DISTINCT document_id) AS document_count, true AS accepted FROM chunked""",
+    f"""WITH {_PIECES}, held AS (SELECT * FROM chunked WHERE revision <> 'de'),
+c AS (SELECT count(*) AS chunks, count(DISTINCT document_id) AS documents FROM held),
+u AS (SELECT count(DISTINCT document_id) AS lost FROM chunked WHERE revision = 'de')
+SELECT 'right set' AS asked, chunks, documents, 0::BIGINT AS project_chunks, 0::BIGINT AS unmatched_documents,
+  'READY' AS status, chunks AS chunk_count, documents AS document_count, true AS accepted FROM c
+UNION ALL SELECT 'wrong set', chunks, documents, 0, lost, 'READY', chunks, documents, lost = 0 FROM c, u""",
 )
 def _(spark, d):
     rows = _chunked(spark, d).withColumn("corpus_id", F.lit("base"))
-    manifest = rows.groupBy("corpus_id").agg(
+    second = rows.filter("revision <> 'de'").withColumn("generation", F.lit("g2"))
+    both = rows.withColumn("generation", F.lit("g1")).unionByName(second)
+    manifest = second.groupBy("corpus_id", "generation").agg(
         F.lit("READY").alias("status"), F.count("*").alias("chunk_count"),
         F.countDistinct("document_id").alias("document_count"),
     )
-    return chunks.base_gate(rows, manifest, "base")
+    sets = {"right set": second, "wrong set": rows}
+    gates = [
+        chunks.base_gate(both, manifest, "base", documents).withColumn("asked", F.lit(asked))
+        for asked, documents in sets.items()
+    ]
+    return reduce(DataFrame.unionByName, gates)
 
 
 @R.query(
