@@ -48,7 +48,13 @@ def publish_table(
     written = spark.read.schema(rows.schema).parquet(path)
     if gate is not None:
         gate(written)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    if partition_by and written.isEmpty():
+        # Without rows there are no partition folders, so the files would not name all columns.
+        path = f"{path}-empty"
+        spark.createDataFrame([], rows.schema).write.mode("errorifexists").parquet(path)
+    # Partition columns come last and untyped from the files; readers get the declared order and types.
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in rows.schema)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`")
     return spark.table(name)
 
 

@@ -191,6 +191,9 @@ def test_publication(spark, tmp_path):
     _, _, rows = star(spark)
     publish_table(rows, "t_pub", root, partition_by=["date_key"])
     assert spark.table("t_pub").count() == 3
+    assert spark.table("t_pub").dtypes == rows.dtypes
+    assert publish_table(rows.filter("false"), "t_none", root, partition_by=["date_key"]).dtypes == rows.dtypes
+    assert spark.table("t_none").count() == 0
     with pytest.raises(checks.CheckFailed):
         publish_table(
             rows.filter("false"), "t_pub", root,
