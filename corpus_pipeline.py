@@ -23,9 +23,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand on many sites; ``n_chars`` follows the text."""
+    """Documents without the lines that stand on many sites; ``n_chars`` follows the text.
+
+    Only documents whose whole text stands on that many sites stay as they are, for the next stage.
+    """
     kept = line_spread.drop_spread_lines(
-        docs, min_sites=queries.MIN_SITES, min_chars=queries.MIN_CHARS, max_share=queries.MAX_SHARE
+        docs, min_sites=queries.MIN_SITES, min_chars=queries.MIN_CHARS, max_share=None
     )
     chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", chars).select(docs.columns)

@@ -45,6 +45,17 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     return sure.unionByName(counted)
 
 
+def copied_texts(slim: DataFrame, text: str, min_sites: int) -> DataFrame:
+    """The rows (``_rid``, ``_key``) whose whole text stands on at least ``min_sites`` distinct sites."""
+    texts = slim.filter(F.col(text).isNotNull()).select(
+        "_rid", "_key", "_site", F.xxhash64(text).alias("_t1"), F.hash(text).alias("_t2")
+    )
+    # Counted per text and site first, so a text that stands everywhere is few rows in any task.
+    counted = texts.groupBy("_t1", "_t2").agg(F.countDistinct("_site").alias("_sites"))
+    wide = work_table(counted.filter(F.col("_sites") >= min_sites).select("_t1", "_t2"), "line-copied-texts")
+    return texts.join(wide, ["_t1", "_t2"], "left_semi").select("_rid", "_key")
+
+
 def drop_spread_lines(
     docs: DataFrame,
     key: str = "doc_id",
@@ -52,14 +63,15 @@ def drop_spread_lines(
     site: str = "source",
     min_sites: int = 10,
     min_chars: int = 10,
-    max_share: float = 0.5,
+    max_share: float | None = 0.5,
 ) -> DataFrame:
     """``docs`` with the lines removed that stand on ``min_sites`` sites or more.
 
     Lines end at a line feed and are compared as they are; lines shorter than ``min_chars`` stay. A
-    document that would lose more than ``max_share`` of its characters is a copy of a widely copied
-    document and no page with boilerplate, so it is left whole (for near-duplicate removal). The
-    remaining lines keep their order. Adds ``n_lines`` and ``n_removed``; ``n_removed`` is 0 and the
+    document that would lose more than ``max_share`` of its characters is left whole, which also spares
+    short pages that are mostly boilerplate. With None only copies are left whole (for near-duplicate
+    removal): documents whose whole text itself stands on ``min_sites`` sites; all others lose every
+    such line, whatever remains. The remaining lines keep their order. Adds ``n_lines`` and ``n_removed``; ``n_removed`` is 0 and the
     text unchanged where nothing goes, and a NULL text stays NULL with no lines. NULL is no site.
     Rows equal in key and text are treated alike; other columns pass through, and columns called
     ``n_lines`` or ``n_removed`` are refused.
@@ -79,11 +91,17 @@ def drop_spread_lines(
         .groupBy("_rid", "_key").agg(F.collect_list("_line").alias("_gone"), F.sum("_chars").alias("_lost"))
         .select(*[F.col(c).alias(n) for c, n in hit.items()])
     )
+    if max_share is None:
+        copies = copied_texts(slim, text, min_sites).select("_rid", "_key").distinct()
+        copied = (F.col(hit["_rid"]) == F.col("_rid")) & F.col(hit["_key"]).eqNullSafe(F.col("_key"))
+        hits = hits.join(work_table(copies, "line-copies"), copied, "left_anti")
     hits = work_table(hits, "line-hits")
     same = (F.col(rid) == F.col(hit["_rid"])) & F.col(key).eqNullSafe(F.col(hit["_key"]))
     joined = rows.join(hits, same, "left")
     gone, lost = F.col(hit["_gone"]), F.col(hit["_lost"])
-    kept_whole = lost.isNull() | (lost > max_share * F.length(text))
+    kept_whole = lost.isNull()
+    if max_share is not None:
+        kept_whole = kept_whole | (lost > max_share * F.length(text))
     parts = F.split(F.col(text), "\n", -1)
     numbers = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
     left = F.array_join(F.transform(numbers, lambda i: F.get(parts, i)), "\n")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from siltbed.llm import (
     bpe, cap_filters, fingerprints, hilbert, line_spread, mixing, parity_join, quality_model, queries,
     suffix_dedup, token_counts,
@@ -244,6 +245,24 @@ def test_line_spread(documents):
     assert line_spread.drop_spread_lines(documents([])).count() == 0
 
 
+def test_line_spread_cleans_boilerplate_pages(documents):
+    """Without a share, only a text that itself stands on many sites is left whole."""
+    banner, rights = "subscribe to our letter, it is free", "all rights are reserved by us"
+    texts = [f"{banner}\n{rights}\nown {i} text" for i in range(12)]
+    texts += [f"{banner}\n{rights}"] * 3 + ["one story that is told\nand told again everywhere"] * 11
+    texts += [None, "", f"and told again everywhere\n{banner}"]
+    docs = documents(texts, [f"s{i % 12}" for i in range(len(texts))])
+    rows = {r.doc_id: r for r in line_spread.drop_spread_lines(docs, max_share=None).collect()}
+    assert len(rows) == len(texts)
+    assert all(rows[i].text == f"own {i} text" and rows[i].n_removed == 2 for i in range(12))
+    assert all(rows[i].text == "" and rows[i].n_removed == 2 for i in range(12, 15))
+    assert all(rows[i].text == texts[i] and rows[i].n_removed == 0 for i in range(15, 28))
+    assert rows[28].text == "" and rows[28].n_removed == 2
+    # The stage of the pipeline works by this rule.
+    staged = corpus_pipeline.lines(None, docs, "").collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in staged} == {k: (r.text, len(r.text or "")) for k, r in rows.items()}
+
+
 def test_mixing_budgets(spark):
     leaves = [("a", "x", 100, 1, 1), ("a", "y", 10, 1, 3), ("b", "z", 1000, 1, 1)]
     frame = spark.createDataFrame(leaves, "g string, s string, tokens long, w_g long, w_s long")
