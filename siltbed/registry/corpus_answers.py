@@ -474,7 +474,7 @@ def _markdown(spark, d) -> DataFrame:
         F.octet_length(broken).cast("long").alias("length"),
         broken.alias("raw"),
     )
-    return markdown_documents(files, fixed_now())
+    return markdown_documents(files, fixed_now(), max_file_bytes=None)
 
 
 _MD = r"""WITH md AS (SELECT *, doc_id % 97 = 3 AS unclosed, doc_id % 89 = 5 AS odd_path,

@@ -11,8 +11,8 @@ from siltbed.functions.plans import once
 from siltbed.functions.text import digest, is_blank, strip
 from siltbed.operators.chunks import PROJECT_TYPE
 
-# Limits of a document set, front-matter marks, allowed paths.
-MAX_FILES, MAX_FILE_BYTES, MAX_TOTAL_BYTES = 50, 256_000, 2_000_000
+# The customary limit of a file, front-matter marks, allowed paths.
+MAX_FILE_BYTES = 256_000
 FRONT, FRONT_END = "---\n", "\n---\n"
 PATH_PATTERN = r"^(?:[A-Za-z0-9_-]+/)+[A-Za-z0-9_-]+\.md$"
 URL_SCHEME = "projectdoc:///"
@@ -38,8 +38,13 @@ def markdown_files(spark: SparkSession, root: str, folder: str = "docs") -> Data
     )
 
 
-def markdown_documents(files: DataFrame, now: Column | None = None) -> DataFrame:
-    """One document per file; ``fault`` is NULL for usable ones."""
+def markdown_documents(
+    files: DataFrame, now: Column | None = None, max_file_bytes: int | None = MAX_FILE_BYTES
+) -> DataFrame:
+    """One document per file; ``fault`` is NULL for usable ones.
+
+    A file above ``max_file_bytes`` is a fault; with None a file may have any size.
+    """
     now = F.current_timestamp() if now is None else now
     raw = F.col("raw")
     fronted = raw.startswith(FRONT)
@@ -50,10 +55,11 @@ def markdown_documents(files: DataFrame, now: Column | None = None) -> DataFrame
     named = F.regexp_replace(strip(listed), "^[\"']+|[\"']+$", "")
     stem = F.regexp_extract("source_path", r"([^/]+)\.md$", 1)
     text = strip(F.when(fronted, body).otherwise(raw))
+    too_large = F.lit(False) if max_file_bytes is None else F.col("length") > max_file_bytes
     fault = (
         F.when(fronted & (end == 0), "unclosed front matter")
         .when(is_blank(F.when(fronted, body).otherwise(raw)), "empty document")
-        .when(F.col("length") > MAX_FILE_BYTES, "file too large")
+        .when(too_large, "file too large")
         .when(~F.col("source_path").rlike(PATH_PATTERN), "path")
     )
     return once(files, "raw", raw).select(
@@ -72,16 +78,15 @@ def markdown_documents(files: DataFrame, now: Column | None = None) -> DataFrame
 
 
 def document_set_gate(
-    documents: DataFrame, max_files: int = MAX_FILES, max_bytes: int = MAX_TOTAL_BYTES
+    documents: DataFrame, max_files: int | None = None, max_bytes: int | None = None
 ) -> DataFrame:
-    """One row: is the set within its limits and free of faults?"""
+    """One row: has the set a file, no faults, and no more files and bytes than the caller allows?"""
+    accepted = (F.col("files") >= 1) & (F.col("faults") == 0)
+    for column, limit in (("files", max_files), ("bytes", max_bytes)):
+        if limit is not None:
+            accepted = accepted & (F.col(column) <= limit)
     return documents.agg(
         F.count("*").alias("files"),
         F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
         F.count("fault").alias("faults"),
-    ).withColumn(
-        "accepted",
-        F.col("files").between(1, max_files)
-        & (F.col("bytes") <= max_bytes)
-        & (F.col("faults") == 0),
-    )
+    ).withColumn("accepted", accepted)
