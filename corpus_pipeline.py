@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.llm import line_spread, mixing, parity_join, quality_model, queries
-from siltbed.llm.common import parquet, work_table
+from siltbed.llm.common import distinct_name, parquet, work_table
 from siltbed.registry.base import Registry
 
 R = Registry()
@@ -35,16 +35,27 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest key."""
-    near = work_table(parity_join.near_documents(docs), "pipeline-near")
-    losers = near.filter("doc_id <> component_id").select(F.col("doc_id").alias("_loser")).distinct()
+    """One row of each group of near duplicates, the one with the smallest key, whatever the other rows of its key.
+
+    Rows without words are in no group; those equal in key and text are one document all the same.
+    """
+    near = work_table(parity_join.near_sets(docs), "pipeline-near")
+    h = distinct_name(docs, "_h")
+    rows = docs.withColumn(h, parity_join.text_hash("text"))
+
+    def among(keys: DataFrame):
+        return (rows[h] == keys["_kh"]) & rows["doc_id"].eqNullSafe(keys["_kid"])
+
+    keys = [F.col("id").alias("_kid"), F.col("h").alias("_kh")]
+    losers = near.filter("size > 0 AND NOT (id <=> first.id AND h = first.h)").select(*keys).distinct()
     losers = work_table(losers, "pipeline-losers")
-    kept = docs.join(losers, docs["doc_id"] == losers["_loser"], "left_anti")
-    # Rows that repeat a key are copies of one document as well.
-    counts = near.filter("doc_id IS NOT NULL").agg(F.count("*"), F.countDistinct("doc_id")).first()
-    if counts[0] > counts[1]:
-        named = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-        kept = named.unionByName(kept.filter("doc_id IS NULL"))
+    kept = rows.join(losers, among(losers), "left_anti")
+    # The row that stands for a group, or a row without words, may be there more than once.
+    same = near.filter("size > 0 AND id <=> first.id AND h = first.h OR size = 0 AND id IS NOT NULL")
+    repeats = work_table(same.groupBy(*keys).count().filter("count > 1").drop("count"), "pipeline-repeats")
+    if not repeats.isEmpty():
+        once = kept.join(repeats, among(repeats), "left_semi").dropDuplicates(["doc_id", h])
+        kept = kept.join(repeats, among(repeats), "left_anti").unionByName(once)
     return kept.select(docs.columns)
 
 

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.llm.common import (
@@ -114,7 +114,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = set_name(owner, hashes, part.num_rows)
         sizes = np.bincount(owner, minlength=part.num_rows)
         yield pa.RecordBatch.from_arrays(
-            [part.column("id"), pa.array(names.view(np.int64)), pa.array(sizes, pa.int64())], ["id", "name", "size"]
+            [part.column("id"), part.column("h"), pa.array(names.view(np.int64)), pa.array(sizes, pa.int64())],
+            ["id", "h", "name", "size"],
         )
 
 
@@ -253,7 +254,8 @@ def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=1).compress
     for part in slices(batches, "t"):
         texts = [squeeze((t.as_py() or "").encode()) for t in part.column("t")]
-        yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(texts, pa.binary())], ["id", "t"])
+        columns = [part.column("id"), part.column("h"), pa.array(texts, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "h", "t"])
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -379,6 +381,11 @@ def _crowd_links(texts: DataFrame, unsafe: DataFrame, found: DataFrame) -> DataF
     return links.unionByName(_linked(across, texts))
 
 
+def text_hash(text: str) -> Column:
+    """What tells rows of one key apart; NULL counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``n_shingles`` and ``component_id``, the smallest key reachable by links.
 
@@ -387,19 +394,30 @@ def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     and texts without words have no shingles and link with nothing. Documents link when
     100 * intersection >= 75 * union. Every link between different sets is found, whatever the
     sizes of the groups; documents with equal sets are one set that its smallest key stands for. Rows with
-    equal keys are rows of their own; a NULL key joins a group without naming it. Sets are
-    compared by 64-bit hashes of their shingles.
+    equal keys are rows of their own, also where their texts differ, so two groups may show the same
+    smallest key (``near_sets`` tells them apart). A NULL key joins and links groups without naming
+    them; a group of NULL keys only has no name. Sets are compared by 64-bit hashes of their shingles.
     """
-    slim = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    kind = docs.schema[key].dataType.simpleString()
-    described = work_table(slim.mapInArrow(_describe, f"id {kind}, name long, size long"), "parity-sets")
-    sets = work_table(
-        described.filter("size > 0 AND id IS NOT NULL").groupBy("name").agg(F.min("id").alias("id"), F.min("size").alias("size")),
-        "parity-classes",
+    return near_sets(docs, key, text).select(
+        F.col("id").alias(key), F.col("size").alias("n_shingles"),
+        F.when(F.col("size") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: ``id`` and ``h`` (key and hash of the text), ``size``, ``component`` (a name of the
+    group's own, NULL without shingles), ``component_id`` (its smallest key), and ``first``: ``id`` and ``h``
+    of the row that stands for the group, the one with the smallest key, NULL keys last.
+    """
+    slim = docs.select(F.col(key).alias("id"), text_hash(text).alias("h"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    kind = docs.schema[key].dataType.simpleString()
+    described = work_table(slim.mapInArrow(_describe, f"id {kind}, h long, name long, size long"), "parity-sets")
+    stands = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("first")
+    sets = described.filter("size > 0").groupBy("name").agg(stands, F.min("size").alias("size"))
+    sets = work_table(sets, "parity-classes")
     # About 14 bytes a part, and parts are half of the shingles.
     buckets = task_count(described, BUCKET_BYTES, F.col("size") * 7)
-    sent = slim.mapInArrow(_send(buckets), "bucket int, kind int, names binary, extra binary")
+    sent = slim.select("t").mapInArrow(_send(buckets), "bucket int, kind int, names binary, extra binary")
     dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     matched = work_table(dealt.mapInArrow(_match, "a long, b long, n long"), "parity-matches")
     loud = matched.filter("b = 0").groupBy(F.col("a").alias("name")).agg(F.sum("n").alias("n"))
@@ -417,19 +435,22 @@ def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # With fewer crowded parts than it shares with its smallest partner, a set has lost no link.
     unsafe = work_table(loud.filter(f"n >= 1 + (3 * size div 4) div {SLACK}").select("name"), "parity-unsafe")
     wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name")))
-    wanted = work_table(wanted.unionByName(unsafe).distinct().join(sets, "name").select("name", "id"), "parity-wanted")
-    zipped = slim.mapInArrow(_zipped, f"id {kind}, t binary")
-    texts = work_table(zipped.join(wanted, "id").groupBy("name").agg(F.min("t").alias("t")), "parity-texts")
+    wanted = work_table(wanted.unionByName(unsafe).distinct().join(sets, "name").select(
+        "name", F.col("first.id").alias("wid"), F.col("first.h").alias("wh")), "parity-wanted")
+    # Key and text together name the row that stands for a set: a key alone may stand on other texts, too,
+    # and a text alone on very many rows.
+    zipped = slim.mapInArrow(_zipped, f"id {kind}, h long, t binary")
+    its_own = (F.col("h") == F.col("wh")) & F.col("id").eqNullSafe(F.col("wid"))
+    texts = work_table(zipped.join(wanted, its_own).groupBy("name").agg(F.min("t").alias("t")), "parity-texts")
     links = _linked(pairs, texts)
     if not unsafe.isEmpty():
         links = _crowd_links(texts, unsafe, links)
     reached = components(links)
     named = sets.join(reached, sets["name"] == reached["node"], "left").select(
-        sets["name"], "id", F.coalesce("component", sets["name"]).alias("component")
+        sets["name"], "first", F.coalesce("component", sets["name"]).alias("component")
     )
-    least = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = work_table(named.join(least, "component").select("name", "component_id"), "parity-components")
+    least = named.groupBy("component").agg(F.min("first").alias("first"))
+    named = work_table(named.select("name", "component").join(least, "component"), "parity-components")
     return described.join(named, "name", "left").select(
-        F.col("id").alias(key), F.col("size").alias("n_shingles"),
-        F.when(F.col("size") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"),
+        "id", "h", "size", "component", F.col("first.id").alias("component_id"), "first"
     )

@@ -177,6 +177,28 @@ def test_parity_join_edges(documents):
     assert sorted((r.doc_id or -1, r.component_id) for r in rows if r.n_shingles) == [(-1, 3), (3, 3), (3, 3)]
 
 
+def test_parity_join_tells_texts_of_one_key_apart(documents):
+    rng = random.Random(6)
+    a, b, c = (text_of(rng, 60) for _ in range(3))
+    # Keys 1 and 2 stand on several texts; NULL keys are links of a chain that no other pair closes.
+    words = text_of(rng, 100).split()
+    chain = [" ".join(words[:80]), " ".join(words[8:88]), " ".join(words[16:96])]
+    rows = [(1, a), (1, b), (2, c), (2, a + " more"), (7, b + " more"), (8, c + " more"),
+            (20, chain[0]), (None, chain[1]), (21, chain[2]), (None, "x y z"), (None, "x y z"), (3, ""), (3, "")]
+    near = parity_join.near_documents(documents(rows)).collect()
+    assert sorted(((r.doc_id or 0, r.component_id or 0) for r in near)) == sorted(
+        [(1, 1), (1, 1), (2, 2), (2, 1), (7, 1), (8, 2), (20, 20), (0, 20), (21, 20), (0, 0), (0, 0), (3, 3), (3, 3)]
+    )
+    groups = {}
+    for r in parity_join.near_sets(documents(rows)).filter("size > 0").collect():
+        groups.setdefault(r.component, []).append(r.id or 0)
+    assert sorted(map(sorted, groups.values())) == [[0, 0], [0, 20, 21], [1, 2], [1, 7], [2, 8]]
+    left = corpus_pipeline.near_duplicates(None, documents(rows), "").collect()
+    assert sorted(((r.doc_id or 0, r.text) for r in left)) == sorted(
+        [(1, a), (1, b), (2, c), (20, chain[0]), (0, "x y z"), (3, "")]
+    )
+
+
 def test_quality_model(spark, documents):
     rng = random.Random(4)
     good = [text_of(rng, rng.randrange(1, 150)) for _ in range(150)]
