@@ -92,6 +92,48 @@ def slices(
             start = stop
 
 
+# Vectors and groups
+
+
+def usable(vector: Column, zero: bool = False) -> Column:
+    """Not NULL, with components that are all finite; ``zero`` admits vectors without any other than zero."""
+    number = F.transform(vector, lambda v: v.cast("double"))
+    finite = F.forall(number, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    return F.coalesce(finite if zero else finite & F.exists(number, lambda v: v != 0), F.lit(False))
+
+
+def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """A list column whose rows all have ``width`` components, as doubles."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
+    return flat.reshape(len(column), width)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """The rows of each value of ``keys`` (integers without NULL) as one table, from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last: tuple = ()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        new = np.zeros(batch.num_rows, bool)
+        new[0] = True
+        for column in columns:
+            new[1:] |= column[1:] != column[:-1]
+        cuts = [*np.flatnonzero(new).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            key = tuple(int(column[a]) for column in columns)
+            if held and key != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield last, pa.Table.from_batches(held)
+
+
 # Hashes
 
 

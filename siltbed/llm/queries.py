@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.llm import (
-    bpe, cap_filters, fingerprints, hilbert, line_spread, mixing, parity_join, quality_model, suffix_dedup,
-    token_counts,
+    bpe, cap_filters, conversations, fingerprints, forest, hilbert, line_spread, mixing, negatives, parity_join,
+    quality_model, suffix_dedup, token_counts,
 )
 from siltbed.llm.common import parquet
 from siltbed.registry.base import Registry
@@ -217,3 +217,119 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = parquet(spark, sf_dir, "documents").select("doc_id", "source", "text")
     kept = line_spread.drop_spread_lines(docs, min_sites=MIN_SITES, min_chars=MIN_CHARS, max_share=MAX_SHARE)
     return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+NEGATIVES_SQL = """
+WITH rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS y FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    list_dot_product(a.y, b.y)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS "rank", other_id AS negative_id,
+    positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 10"""
+
+
+@R.query("op11_angular_negatives", NEGATIVES_SQL)
+def op11_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = parquet(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@R.query("op12_forest_search")
+def op12_forest_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(parquet(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+# The repair by another way, as a check: the grammar is a machine of four states (0 at the start, then the last
+# role), and each state keeps its cheapest and least audit from turn to turn.
+REPAIR_SQL = r"""
+WITH RECURSIVE crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')) AS k FROM conversations),
+coded AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split(k, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS code FROM keyed, crc_table),
+damaged AS (SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE code WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM coded WHERE code <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM damaged),
+faulty AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault,
+    left(role, 1) AS ini FROM placed),
+moves(state, ch, nxt) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+inserts(state, nxt, n, chs) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 1, 'u'),
+  (1, 2, 1, 'u'), (2, 3, 1, 'a'), (3, 2, 1, 'u'), (0, 3, 2, 'ua'), (1, 3, 2, 'ua')),
+names(ch, name) AS (VALUES ('u', 'user'), ('a', 'assistant')),
+steps AS (
+  SELECT i.state, m.nxt, 3 * i.n AS cost, repeat('I', i.n) AS letters, i.chs, m.ch, 'K' AS edit FROM inserts i JOIN moves m ON m.state = i.nxt
+  UNION ALL SELECT i.state, m.nxt, 3 * i.n + 3, repeat('I', i.n), i.chs, m.ch, 'R' FROM inserts i JOIN moves m ON m.state = i.nxt AND m.ch <> 's'
+  UNION ALL SELECT state, nxt, 3 * n + 4, repeat('I', n), chs, NULL, 'D' FROM inserts),
+walk AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, ''::VARCHAR AS done FROM faulty
+  UNION ALL
+  SELECT conv_id, i, nxt, c, a, d FROM (
+    SELECT w.conv_id, f.i, s.nxt, w.cost + s.cost + CASE WHEN f.fault = 'truncated' AND s.edit <> 'D' THEN 3 ELSE 0 END AS c,
+      w.audit || s.letters || s.edit AS a,
+      w.done || CASE s.chs WHEN 'u' THEN E'
+user:' WHEN 'a' THEN E'
+assistant:' WHEN 'ua' THEN E'
+user:
+assistant:' ELSE '' END
+        || CASE s.edit WHEN 'K' THEN E'
+' || f.role || ':' || f.text
+           WHEN 'R' THEN E'
+' || CASE s.ch WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || f.text ELSE '' END AS d
+    FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN steps s ON s.state = w.state
+    WHERE s.edit = 'D' OR f.fault NOT IN ('blank', 'duplicate') AND (s.edit = 'R' OR s.ch = f.ini))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, nxt ORDER BY c, a) = 1),
+ended AS (SELECT w.conv_id, w.cost + 3 * s.n AS cost, w.audit || repeat('I', s.n) AS audit,
+    w.done || CASE s.chs WHEN 'u' THEN E'
+user:' WHEN 'a' THEN E'
+assistant:' WHEN 'ua' THEN E'
+user:
+assistant:' ELSE '' END AS done
+  FROM walk w JOIN (SELECT conv_id, max(i) AS last FROM faulty GROUP BY 1) l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.last = w.i
+  JOIN inserts s ON s.state = w.state AND s.nxt IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + 3 * s.n, w.audit || repeat('I', s.n)) = 1),
+pairs AS (SELECT conv_id, ini || lead(ini) OVER (PARTITION BY conv_id ORDER BY i) AS pair FROM faulty),
+wrong AS (SELECT conv_id, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM pairs GROUP BY 1),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated FROM faulty GROUP BY 1)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank,
+  coalesce(c.duplicate, 0)::BIGINT AS duplicate, coalesce(c.truncated, 0)::BIGINT AS truncated,
+  coalesce(w.illegal, 0)::BIGINT AS illegal, coalesce(e.cost, 0)::BIGINT AS cost, coalesce(e.audit, '') AS audit,
+  sha256(coalesce(substr(e.done, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN wrong w ON w.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
+@R.query("op13_turn_repair", REPAIR_SQL)
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = parquet(spark, sf_dir, "conversations")
+    summary, repaired = conversations.repair_conversations(conversations.damaged(table))
+    digests = conversations.turn_digests(repaired).withColumnsRenamed({"conv": "_d"})
+    rows = table.select("conv_id").distinct()
+    rows = rows.join(summary, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    rows = rows.join(digests, F.col("conv_id").eqNullSafe(F.col("_d")), "left")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return rows.select(
+        "conv_id",
+        *[F.when(F.col("audit").isNull(), F.lit(0)).otherwise(F.col(c)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )

@@ -12,7 +12,8 @@ DATA = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(R.oracles))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    for table in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     frame = R.queries[name](spark, DATA)
     cursor = con.execute(R.oracles[name])
     names = [c[0] for c in cursor.description]
