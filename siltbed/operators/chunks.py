@@ -95,7 +95,10 @@ def base_gate(chunks: DataFrame, manifest: DataFrame, base: str, documents: Data
     row = manifest.filter(F.col("corpus_id") == base).select(
         "generation", "status", "chunk_count", "document_count"
     )
-    held = chunks.filter(F.col("corpus_id") == base).join(row.select("generation"), ["generation"], "left_semi")
+    # Read once on both sides: from a constant generation Catalyst would make a filter and pair all rows.
+    sides = (chunks.filter(F.col("corpus_id") == base), row.select("generation"))
+    rows, wanted = (once(f, "generation", F.col("generation")) for f in sides)
+    held = rows.join(wanted, ["generation"], "left_semi")
     counted = held.agg(
         F.count("*").alias("chunks"),
         F.countDistinct("document_id").alias("documents"),

@@ -1,232 +1,93 @@
 """Batch retrieval: best chunks for every question of a table, inside the question's corpus.
 
-Scores are computed block against block with numpy, and only the best ``k`` rows per question
-leave a block, so question-chunk pairs are never written out. There are two ways to bring the
-blocks together; both are exact and give the same rows:
-
-* few questions (counted first): every task gets them and reads its chunks in place, no shuffle;
-* otherwise: questions and chunks are hashed into blocks of bounded size inside each corpus, and
-  each pair of blocks is one cogroup. A corpus with very many chunks just has more blocks.
+Every search is exact. Both legs read blocks best first and skip those whose bound stays below the k-th
+score found: ``postings`` for words, ``pivots`` for vectors. The hybrid fuses whole rankings without
+computing them: no chunk below a known depth of both legs can win, so only those above it are looked at,
+and only their places in the other leg are counted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.functions.joins import top_per_group
-from siltbed.functions.plans import once
-from siltbed.functions.text import words
-
-CORPUS = ["corpus_id", "generation"]
-SMALL_QUESTIONS = 2_000
-QUESTION_BLOCK, CHUNK_BLOCK, SCORE_ROWS = 8_192, 8_192, 256
-DECIMALS = 6
-# Usual constants of the BM25 weight and of reciprocal-rank fusion.
-BM25_K1, BM25_B = 1.2, 0.75
-RRF_K = 60
-
-Scorer = Callable[[pd.DataFrame, pd.DataFrame], np.ndarray]
-
-
-def _best(questions: pd.DataFrame, chunks: pd.DataFrame, scorer: Scorer, k: int, floor: float) -> pd.DataFrame:
-    """Best ``k`` chunks of one block for each question of one block; ties go to the lower id."""
-    found = []
-    ids = chunks["chunk_id"].to_numpy()
-    # A slice of the questions at a time, so that the scores stay small next to the block.
-    for start in range(0, len(questions), SCORE_ROWS):
-        part = questions.iloc[start : start + SCORE_ROWS]
-        scores = np.round(scorer(part, chunks), DECIMALS)
-        for question, row in zip(part["question_id"], scores):
-            least = max(floor, np.partition(row, -k)[-k]) if len(row) > k else floor
-            near = np.flatnonzero(row >= least)
-            best = pd.DataFrame({"question_id": question, "chunk_id": ids[near], "score": row[near]})
-            found.append(best.sort_values(["score", "chunk_id"], ascending=[False, True]).head(k))
-    return pd.concat(found)
-
-
-def _top_k(hits: DataFrame, k: int) -> DataFrame:
-    return top_per_group(hits, ["question_id"], [F.desc("score"), F.asc("chunk_id")], k)
-
-
-def _in_place(
-    questions: DataFrame, chunks: DataFrame, schema: str, scorer: Scorer, k: int, floor: float
-) -> DataFrame:
-    """Questions travel to the tasks (their number has been checked); chunks stay where they are."""
-    known = {key: block for key, block in questions.toPandas().groupby(CORPUS)}
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: dict[tuple, pd.DataFrame] = {}
-        for batch in batches:
-            for key, part in batch.groupby(CORPUS):
-                if key not in known:
-                    continue
-                hits = pd.concat([best.get(key), _best(known[key], part, scorer, k, floor)])
-                hits = hits.sort_values(["score", "chunk_id"], ascending=[False, True])
-                best[key] = hits.groupby("question_id").head(k)
-        yield from best.values()
-
-    return chunks.mapInPandas(run, schema)
-
-
-def _blocked(
-    questions: DataFrame, chunks: DataFrame, schema: str, scorer: Scorer, k: int, floor: float,
-    question_block: int, chunk_block: int,
-) -> DataFrame:
-    """Cogroups of question blocks and chunk blocks of the same corpus."""
-
-    def sizes(rows: DataFrame, block: int, name: str) -> DataFrame:
-        return rows.groupBy(*CORPUS).agg(
-            F.ceil(F.count("*") / block).cast("int").alias(name)
-        )
-
-    both = sizes(questions, question_block, "_nq").join(sizes(chunks, chunk_block, "_nc"), CORPUS)
-
-    def spread(rows: DataFrame, own: str, other: str, own_block: str, other_block: str, id_: str) -> DataFrame:
-        sized = rows.join(both, CORPUS, "inner")
-        return sized.withColumns(
-            {
-                own_block: F.pmod(F.xxhash64(id_), F.col(own)).cast("int"),
-                other_block: F.explode(F.sequence(F.lit(0), F.col(other) - 1)),
-            }
-        ).drop("_nq", "_nc")
-
-    left = spread(questions, "_nq", "_nc", "_qb", "_cb", "question_id")
-    right = spread(chunks, "_nc", "_nq", "_cb", "_qb", "chunk_id")
-    keys = [*CORPUS, "_qb", "_cb"]
+from siltbed.functions.plans import stored
+from siltbed.operators.pivots import VectorIndex, vector_hits, vector_index, vector_ranks, without_vector
+from siltbed.operators.postings import PostingIndex, keyword_hits, keyword_ranks, posting_index
+from siltbed.operators.ranking import DECIMALS, ROUNDING, top_k
 
-    def run(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        if qs.empty or cs.empty:
-            return pd.DataFrame({"question_id": [], "chunk_id": [], "score": []})
-        return _best(qs, cs, scorer, k, floor)
+__all__ = [
+    "posting_index", "retrieve_hybrid", "retrieve_keyword", "retrieve_vector", "running_text", "snapshot_guard",
+    "vector_index", "without_vector",
+]
 
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
-
-
-def _retrieve(
-    questions: DataFrame, chunks: DataFrame, scorer: Scorer, k: int, floor: float,
-    small: int, question_block: int, chunk_block: int,
-) -> DataFrame:
-    types = {**dict(questions.dtypes), **dict(chunks.dtypes)}
-    schema = f"question_id {types['question_id']}, chunk_id {types['chunk_id']}, score double"
-    if questions.limit(small + 1).count() <= small:
-        hits = _in_place(questions, chunks, schema, scorer, k, floor)
-    else:
-        hits = _blocked(questions, chunks, schema, scorer, k, floor, question_block, chunk_block)
-    return _top_k(hits, k)
-
-
-def _cosine(questions: pd.DataFrame, chunks: pd.DataFrame) -> np.ndarray:
-    def unit(rows: pd.DataFrame) -> np.ndarray:
-        matrix = np.stack(rows["embedding"].to_numpy()).astype("float64")
-        norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-        return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
-
-    return unit(questions) @ unit(chunks).T
+# Fixed value: usual constant of reciprocal-rank fusion.
+RRF_K = 60
 
 
-def retrieve_vector(
-    questions: DataFrame, chunks: DataFrame, k: int = 4, small: int = SMALL_QUESTIONS,
-    question_block: int = QUESTION_BLOCK, chunk_block: int = CHUNK_BLOCK,
-) -> DataFrame:
+def retrieve_vector(questions: DataFrame, chunks: DataFrame | VectorIndex, k: int = 4) -> DataFrame:
     """Best chunks by cosine similarity.
 
-    Both frames carry ``corpus_id``, ``generation`` and ``embedding``; questions a
-    ``question_id``, chunks a ``chunk_id``. Rows whose embedding is NULL or empty have no result;
-    ``without_vector`` lists them.
+    Both frames carry ``corpus_id``, ``generation`` and ``embedding``; questions a ``question_id``, chunks
+    a ``chunk_id``. Only vectors with equally many components meet; a zero vector has a cosine of 0 with
+    everything. Rows whose embedding is NULL, empty or no number have no result; ``without_vector``
+    lists them. ``chunks`` may be an index that was built before.
     """
-    qs = questions.select("question_id", *CORPUS, "embedding").filter(F.size("embedding") > 0)
-    cs = chunks.select("chunk_id", *CORPUS, "embedding").filter(F.size("embedding") > 0)
-    return _retrieve(qs, cs, _cosine, k, -1.0, small, question_block, chunk_block)
+    index = chunks if isinstance(chunks, VectorIndex) else vector_index(chunks)
+    return vector_hits(questions, index, k)
 
 
-def without_vector(rows: DataFrame) -> DataFrame:
-    """Rows that vector search has to leave out."""
-    return rows.filter(F.coalesce(F.size("embedding") <= 0, F.lit(True)))
+def retrieve_keyword(questions: DataFrame, chunks: DataFrame | PostingIndex, k: int = 4) -> DataFrame:
+    """Best chunks by BM25 over the words of ``text``; a chunk without any of the words is no hit."""
+    index = chunks if isinstance(chunks, PostingIndex) else posting_index(chunks)
+    return keyword_hits(questions, index, k)
 
 
-def term_counts(chunks: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
-    """Term frequency per chunk with the chunk's length, optionally for a vocabulary only."""
-    listed = once(chunks, "_words", words(F.col("text")))
-    terms = listed.select(
-        "chunk_id", *CORPUS, F.size("_words").alias("length"), F.explode("_words").alias("term")
-    )
-    if vocabulary is not None:
-        terms = terms.join(vocabulary, ["term"], "left_semi")
-    return terms.groupBy("chunk_id", *CORPUS, "length", "term").agg(F.count("*").alias("tf"))
+def _part(rank: Column) -> Column:
+    return 1.0 / (RRF_K + rank)
 
 
-def _sparse_dot(questions: pd.DataFrame, chunks: pd.DataFrame) -> np.ndarray:
-    """Sum of the chunk's weights over the question's terms, by way of a dense block."""
-    vocabulary = {t: i for i, t in enumerate({t for ts in questions["terms"] for t in ts})}
+def sure_depth(k: int) -> int:
+    """Ranks of both legs below which no chunk can be among the ``k`` best.
 
-    asked = np.zeros((len(questions), len(vocabulary)))
-    for row, terms in enumerate(questions["terms"]):
-        asked[row, [vocabulary[t] for t in terms]] = 1.0
-    held = np.zeros((len(vocabulary), len(chunks)))
-    for column, (terms, weights) in enumerate(zip(chunks["terms"], chunks["weights"])):
-        for term, weight in zip(terms, weights):
-            if term in vocabulary:
-                held[vocabulary[term], column] = weight
-    return asked @ held
+    If a leg has ``k`` chunks, these alone score ``1 / (RRF_K + k)`` or more; a chunk below depth ``d`` in
+    both legs scores less than ``2 / (RRF_K + d)``. Shorter legs are seen whole.
+    """
+    return int(2 / (1 / (RRF_K + k) - 2 * ROUNDING)) - RRF_K + 1
 
 
-def retrieve_keyword(
-    questions: DataFrame, chunks: DataFrame, k: int = 4, small: int = SMALL_QUESTIONS,
-    question_block: int = QUESTION_BLOCK, chunk_block: int = CHUNK_BLOCK,
+def retrieve_hybrid(
+    questions: DataFrame, vectors: DataFrame | VectorIndex, texts: DataFrame | PostingIndex, k: int = 4
 ) -> DataFrame:
-    """Best chunks by BM25 over the words of ``text``.
+    """The ``k`` best chunks by reciprocal-rank fusion of the whole rankings by cosine and by BM25.
 
-    Chunks are reduced to the words that some question asks for. Weights are computed per corpus
-    with partial aggregates; a chunk's own word list is the only thing ever collected.
+    ``questions`` carry ``embedding`` and ``text``; one of them may be NULL. Both legs are read to
+    ``sure_depth``. Of the chunks seen in one leg only, those that could still win get their exact place in
+    the other by counting what is ahead of them, so every score is that of the whole rankings.
     """
-    asked = questions.select(
-        "question_id", *CORPUS, F.array_distinct(words(F.col("text"))).alias("terms")
-    )
-    vocabulary = asked.select(F.explode("terms").alias("term")).distinct()
-    counts = term_counts(chunks, vocabulary)
-    lengths = chunks.select(*CORPUS, F.size(words(F.col("text"))).alias("length"))
-    totals = lengths.groupBy(*CORPUS).agg(
-        F.count("*").alias("_n"), F.avg("length").alias("_mean")
-    )
-    # Mentions ``tf`` so that both uses of the counts are the same plan and share one shuffle.
-    spread = counts.groupBy(*CORPUS, "term").agg(F.count_if(F.col("tf") > 0).alias("_df"))
-    idf = F.log1p((F.col("_n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
-    stats = spread.join(totals, CORPUS).select(*CORPUS, "term", "_mean", idf.alias("_idf"))
-    # Every count has its statistics, so a left join is enough. Its build side is always the
-    # statistics: the size of the counts is underestimated, as they come out of an explode.
-    weighed = counts.join(stats, [*CORPUS, "term"], "left")
-    damping = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / F.col("_mean"))
-    weight = F.col("_idf") * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damping)
-    rows = (
-        weighed.select("chunk_id", *CORPUS, "term", weight.alias("weight"))
-        .groupBy("chunk_id", *CORPUS)
-        .agg(F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("_t"))
-        .select(
-            "chunk_id", *CORPUS, F.col("_t.term").alias("terms"), F.col("_t.weight").alias("weights")
-        )
-    )
-    lowest = 10.0**-DECIMALS  # chunks without any of the words are not hits
-    return _retrieve(asked, rows, _sparse_dot, k, lowest, small, question_block, chunk_block)
-
-
-def retrieve_hybrid(vector: DataFrame, keyword: DataFrame, k: int = 4) -> DataFrame:
-    """Reciprocal-rank fusion of two rankings."""
-    ranks = [
-        hits.select("question_id", "chunk_id", (1.0 / (RRF_K + F.col("rank"))).alias("part"))
-        for hits in (vector, keyword)
+    vectors = vectors if isinstance(vectors, VectorIndex) else vector_index(vectors)
+    texts = texts if isinstance(texts, PostingIndex) else posting_index(texts)
+    depth = sure_depth(k)
+    keys = ["question_id", "chunk_id"]
+    legs = [
+        hits.select(*keys, F.col("rank").alias(name))
+        for hits, name in ((vector_hits(questions, vectors, depth), "v"), (keyword_hits(questions, texts, depth), "w"))
     ]
-    fused = (
-        ranks[0]
-        .unionByName(ranks[1])
-        .groupBy("question_id", "chunk_id")
-        .agg(F.round(F.sum("part"), DECIMALS).alias("score"))
-    )
-    return _top_k(fused, k)
+    seen = legs[0].join(legs[1], keys, "full")
+    least = F.coalesce(_part(F.col("v")), F.lit(0.0)) + F.coalesce(_part(F.col("w")), F.lit(0.0))
+    unknown = F.when(F.col("v").isNull() | F.col("w").isNull(), _part(F.lit(depth + 1))).otherwise(0.0)
+    seen = stored(seen.withColumn("score", least).withColumn("_most", least + unknown), "hybrid-seen")
+    floors = top_k(seen, k).filter(F.col("rank") == k).select("question_id", F.col("score").alias("_floor"))
+    open_ = seen.join(floors, "question_id", "left")
+    open_ = open_.filter(F.col("_most") + 2 * ROUNDING >= F.coalesce("_floor", F.lit(0.0)))
+    open_ = stored(open_.select(*keys, "v", "w"), "hybrid-open")
+    found = [
+        ranks(questions, index, open_.filter(F.col(name).isNull())).withColumnRenamed("rank", f"_{name}")
+        for name, ranks, index in (("v", vector_ranks, vectors), ("w", keyword_ranks, texts))
+    ]
+    placed = open_.join(found[0], keys, "left").join(found[1], keys, "left")
+    parts = [F.coalesce(_part(F.coalesce(n, f"_{n}")), F.lit(0.0)) for n in ("v", "w")]
+    return top_k(placed.select(*keys, F.round(parts[0] + parts[1], DECIMALS).alias("score")), k)
 
 
 def snapshot_guard(hits: DataFrame, corpus_id: str, generation: str) -> DataFrame:

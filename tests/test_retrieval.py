@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siltbed.operators import answers, retrieval
+from siltbed.operators import answers, pivots, retrieval
 
 HIT = "question_id INT, rank INT, text STRING, source_url STRING"
 
@@ -33,38 +33,39 @@ def best(questions, chunks, score, k):
 
 def cosine(q, c):
     a, b = np.array(q[3]), np.array(c[3])
-    return float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+    size = np.linalg.norm(a) * np.linalg.norm(b)
+    return float(a @ b / size) if size else 0.0
 
 
-@pytest.mark.parametrize("blocks", [{}, {"small": 0, "question_block": 4, "chunk_block": 16}])
-def test_vector_search_is_exact(spark, blocks):
+@pytest.mark.parametrize("blocks", [{}, {"pivots": 3, "block": 2}, {"pivots": 50, "block": 7}])
+def test_vector_search_is_exact(spark, monkeypatch, blocks):
+    monkeypatch.setattr(pivots, "QUESTIONS", 3 if blocks else 256)
     qs, cs = vectors(1, 25, "q"), vectors(2, 300, "c")
     ddl = "{} STRING, corpus_id STRING, generation STRING, embedding ARRAY<FLOAT>"
     as32 = lambda rows: [(*r[:3], [float(np.float32(x)) for x in r[3]]) for r in rows]
     qs, cs = as32(qs), as32(cs)
-    found = retrieval.retrieve_vector(
-        spark.createDataFrame(qs, ddl.format("question_id")),
-        spark.createDataFrame(cs, ddl.format("chunk_id")).repartition(6), 5, **blocks,
-    )
+    cs += [(f"same{i}", *cs[i][1:]) for i in range(20)]  # ties
+    cs += [("zero", "big", "g", [0.0] * 8), ("narrow", "big", "g", [1.0, 2.0])]
+    odd = [("none", "big", "g", None), ("empty", "big", "g", []), ("hole", "big", "g", [1.0, None]), ("nan", "big", "g", [math.nan] * 8)]
+    chunks = spark.createDataFrame(cs + odd, ddl.format("chunk_id")).repartition(6)
+    assert {r.chunk_id for r in retrieval.without_vector(chunks).collect()} == {r[0] for r in odd}
+    index = retrieval.vector_index(chunks, **blocks)
+    found = retrieval.retrieve_vector(spark.createDataFrame(qs + odd, ddl.format("question_id")), index, 5)
+    cs = [c for c in cs if c[0] != "narrow"]
     rows = {(r.question_id, r.chunk_id, r.score, r["rank"]) for r in found.collect()}
     assert rows == best(qs, cs, cosine, 5)
 
 
-@pytest.mark.parametrize("blocks", [{}, {"small": 0, "question_block": 3, "chunk_block": 8}])
-def test_keyword_search_is_exact(spark, blocks):
-    rng = random.Random(3)
-    words = ["the"] * 12 + [f"w{i}" for i in range(30)]
-    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
-    cs = [(i, "big" if i % 3 else "small", "g", text(rng.randrange(3, 40))) for i in range(90)]
-    qs = [(i, "big" if i % 2 else "small", "g", text(4).upper()) for i in range(12)] + [(99, "big", "g", "absent!")]
+def bm25_of(cs):
+    """The weight of a question for a chunk, from all chunks of its corpus."""
     stats = {}
-    for name in ("big", "small"):
-        docs = [c[3].split() for c in cs if c[1] == name]
+    for name in {c[1] for c in cs}:
+        docs = [(c[3] or "").split() for c in cs if c[1] == name]
         stats[name] = (len(docs), sum(map(len, docs)) / len(docs), Counter(w for d in docs for w in set(d)))
 
     def bm25(q, c):
         n, mean, df = stats[q[1]]
-        words_, total = c[3].split(), 0.0
+        words_, total = (c[3] or "").split(), 0.0
         for term in set(q[3].lower().split()):
             tf = words_.count(term)
             if tf:
@@ -72,23 +73,86 @@ def test_keyword_search_is_exact(spark, blocks):
                 total += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words_) / mean))
         return total
 
+    return bm25
+
+
+@pytest.mark.parametrize("block", [256, 4])
+def test_keyword_search_is_exact(spark, block):
+    rng = random.Random(3)
+    words = ["the"] * 12 + [f"w{i}" for i in range(30)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    cs = [(i, "big" if i % 3 else "small", "g", text(rng.randrange(3, 40))) for i in range(90)]
+    qs = [(i, "big" if i % 2 else "small", "g", text(4).upper()) for i in range(12)] + [(99, "big", "g", "absent!")]
+    cs += [(200, "big", "g", None), (201, "big", "g", ""), (202, "small", "g", " \n ")]
+    bm25 = bm25_of(cs)
     found = retrieval.retrieve_keyword(
         spark.createDataFrame(qs, "question_id INT, corpus_id STRING, generation STRING, text STRING"),
-        spark.createDataFrame(cs, "chunk_id INT, corpus_id STRING, generation STRING, text STRING").repartition(5),
-        4, **blocks,
+        retrieval.posting_index(
+            spark.createDataFrame(cs, "chunk_id INT, corpus_id STRING, generation STRING, text STRING").repartition(5), block
+        ), 4,
     )
     expected = {r for r in best(qs, cs, bm25, 4) if r[2] > 0}
     assert {(r.question_id, r.chunk_id, r.score, r["rank"]) for r in found.collect()} == expected
 
 
-def test_fusion(spark):
-    ddl = "question_id INT, chunk_id STRING, rank INT"
-    vector = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], ddl)
-    keyword = spark.createDataFrame([(1, "b", 1), (1, "c", 2)], ddl)
-    rows = retrieval.retrieve_hybrid(vector, keyword, 2).orderBy("rank").collect()
-    assert [(r.chunk_id, r.score) for r in rows] == [
-        ("b", round(1 / 61 + 1 / 62, 6)), ("a", round(1 / 61, 6)),
-    ]
+def fused(qs, cs, k):
+    """Reciprocal ranks of whole rankings, added up."""
+    bm25, out = bm25_of([(c[0], c[1], c[2], c[4]) for c in cs]), set()
+    for q in qs:
+        total: dict = {}
+        own = [c for c in cs if c[1:3] == q[1:3]]
+        legs = [
+            [(round(cosine(q, c), 6), c[0]) for c in own if c[3] is not None and q[3] is not None],
+            [(s, c[0]) for c in own if (s := round(bm25((*q[:3], q[4] or ""), (*c[:3], c[4])), 6)) >= 1e-6],
+        ]
+        for leg in legs:
+            for rank, (_, c) in enumerate(sorted(leg, key=lambda x: (-x[0], x[1])), 1):
+                total[c] = total.get(c, 0.0) + 1 / (60 + rank)
+        ranked = sorted(((round(s, 6), c) for c, s in total.items()), key=lambda x: (-x[0], x[1]))
+        out |= {(q[0], c, s, rank) for rank, (s, c) in enumerate(ranked[:k], 1)}
+    return out
+
+
+QUESTION = "question_id INT, corpus_id STRING, generation STRING, embedding ARRAY<DOUBLE>, text STRING"
+
+
+def searched(spark, qs, cs, k):
+    chunks = spark.createDataFrame(cs, QUESTION.replace("question_id", "chunk_id")).repartition(4)
+    found = retrieval.retrieve_hybrid(
+        spark.createDataFrame(qs, QUESTION), retrieval.vector_index(chunks, 4, 16), retrieval.posting_index(chunks, 8), k
+    )
+    return {(r.question_id, r.chunk_id, r.score, r["rank"]) for r in found.collect()}
+
+
+@pytest.mark.parametrize("k", [1, 4])
+def test_hybrid_fuses_whole_rankings(spark, k):
+    rng, words = random.Random(9), [f"w{i}" for i in range(12)]
+    vector = lambda: [rng.gauss(0, 1) for _ in range(5)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    cs = [(i, "big" if i % 4 else "c", "g", vector() if i % 7 else None, text(6) if i % 5 else None) for i in range(500)]
+    qs = [(i, "big", "g", vector(), text(2)) for i in range(8)]
+    qs += [(20, "c", "g", None, text(2)), (21, "big", "g", vector(), None), (22, "none", "g", vector(), "w1"), (23, "c", "g", None, None)]
+    assert searched(spark, qs, cs, k) == fused(qs, cs, k)
+
+
+def test_a_chunk_far_down_in_both_legs_can_win(spark):
+    """Ranks 1 to 10 of each leg are last in the other; the chunk at rank 11 in both legs is the best."""
+    n = 400
+    circle = lambda degrees: [math.cos(math.radians(degrees)), math.sin(math.radians(degrees))]
+    turn = {i: i + 1 for i in range(10)} | {10: 11} | {11 + i: 150 + i / 10 for i in range(10)}
+    turn |= {i: 20 + i / 10 for i in range(21, n)}
+    often = {11 + i: 60 - i for i in range(10)} | {10: 40} | {i: 1 for i in range(10)} | {i: 30 for i in range(21, n)}
+    cs = [(i, "c", "g", circle(turn[i]), " ".join(["hit"] * often[i] + ["pad"] * (70 - often[i]))) for i in range(n)]
+    qs = [(1, "c", "g", circle(0), "hit")]
+    found = searched(spark, qs, cs, 4)
+    assert found == fused(qs, cs, 4)
+    assert [c for _, c, s, r in found if r == 1] == [10] and max(s for _, _, s, _ in found) == round(2 / 71, 6)
+
+
+@pytest.mark.parametrize("k", [1, 4, 10, 100])
+def test_no_chunk_below_the_depth_can_win(k):
+    d = retrieval.sure_depth(k)
+    assert round(2 / (60 + d + 1), 6) < round(1 / (60 + k), 6) and d < 3 * (k + 60)
 
 
 def test_snapshot_guard(spark):
