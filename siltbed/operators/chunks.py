@@ -69,14 +69,47 @@ def fingerprint(*fields: str) -> Column:
     return short_digest(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("0")) for p in parts]))
 
 
-def generation(chunks: DataFrame) -> DataFrame:
-    """Version of every corpus in the frame."""
+def generation_state(chunks: DataFrame) -> DataFrame:
+    """What a corpus version is computed from: number of rows and sums of their digests, per corpus.
+
+    A few numbers per corpus, to be kept with it; ``update_generation`` moves them on from the change feed.
+    """
+    low, high = row_marks(VERSION_FIELDS)
     dated = chunks.withColumn("fetched_at", iso_utc(F.col("fetched_at")))
     return dated.groupBy("corpus_id").agg(
-        fingerprint(*VERSION_FIELDS).alias("generation"), F.count("*").alias("chunk_count")
+        F.count("*").alias("chunk_count"), F.sum(low).alias("low"), F.sum(high).alias("high")
     )
 
 
+def update_generation(state: DataFrame, changes: DataFrame, sign: Column) -> DataFrame:
+    """The state after the changes: rows that came are added, rows that went are subtracted.
+
+    ``sign`` is 1 for a changed row that is there now and -1 for one that no longer is. Only the changes
+    are read; the sums are those of all rows. Corpora without rows have no version and disappear.
+    """
+    low, high = row_marks(VERSION_FIELDS)
+    dated = changes.withColumn("fetched_at", iso_utc(F.col("fetched_at")))
+    moved = dated.groupBy("corpus_id").agg(
+        F.sum(sign).cast("long").alias("chunk_count"), F.sum(low * sign).alias("low"), F.sum(high * sign).alias("high")
+    )
+    columns = ["chunk_count", "low", "high"]
+    both = state.select("corpus_id", *columns).unionByName(moved).groupBy("corpus_id")
+    kinds = dict(state.dtypes)
+    summed = both.agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in columns])
+    return summed.filter("chunk_count <> 0")
+
+
+def generation_of(state: DataFrame) -> DataFrame:
+    """Version of every corpus from its state."""
+    parts = [F.col(c).cast("string") for c in ("chunk_count", "low", "high")]
+    return state.select("corpus_id", short_digest(F.concat_ws("|", *parts)).alias("generation"), "chunk_count")
+
+
+def generation(chunks: DataFrame) -> DataFrame:
+    """Version of every corpus in the frame."""
+    return generation_of(generation_state(chunks))
+
+
 def with_generation(chunks: DataFrame) -> DataFrame:
     """Chunks labelled with the version of their corpus."""
     versions = generation(chunks).select("corpus_id", "generation")

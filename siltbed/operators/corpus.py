@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, Window
@@ -57,6 +58,16 @@ def corpus_id(start: str, end: str, limit: int, titles: Sequence[str] | None = N
     return sha256("|".join(parts).encode()).hexdigest()[:24]
 
 
+# The one rule for escapes, for a single request and for a table of them: backslash first, then the rest.
+ESCAPES = {c: json.dumps(c)[1:-1] for c in ("\\", '"', *map(chr, range(32)))}
+
+
+def quoted_title(title: Column) -> Column:
+    """A title as a JSON string, with the escapes of ``corpus_id``."""
+    body = reduce(lambda text, c: F.replace(text, F.lit(c), F.lit(ESCAPES[c])), ESCAPES, title)
+    return F.concat(F.lit('"'), body, F.lit('"'))
+
+
 def corpus_ids(requests: DataFrame) -> DataFrame:
     """``corpus_id`` for a table of requests; NULL where a request is not valid.
 
@@ -64,9 +75,7 @@ def corpus_ids(requests: DataFrame) -> DataFrame:
     frequency).
     """
     titles = F.array_sort(F.coalesce("titles", F.array().cast("array<string>")))
-    quoted = F.transform(
-        titles, lambda t: F.regexp_extract(F.to_json(F.struct(t.alias("t"))), r'(?s)^\{"t":(.*)\}$', 1)
-    )
+    quoted = F.transform(titles, quoted_title)
     listed = F.concat(F.lit("titles=["), F.array_join(quoted, ", "), F.lit("]"))
     clean = F.forall(titles, lambda t: (strip(t) == t) & (F.length(t) > 0))
     chosen = (

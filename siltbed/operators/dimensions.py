@@ -74,7 +74,8 @@ def dim_project(
 ) -> DataFrame:
     """Active reference rows plus the fallback row that unmapped events use, in one frame.
 
-    ``names`` (``language_code``, ``language_name``) replaces the built-in naming rule.
+    ``names`` (``language_code``, ``language_name``) is a published list that replaces the built-in naming
+    rule: codes that it lacks become ``ISO: <CODE>``. Codes are compared without regard to case.
     """
     now = F.current_timestamp() if now is None else now
     code = F.coalesce(F.col("language_code"), F.lit(UNKNOWN))
@@ -90,10 +91,13 @@ def dim_project(
     else:
         listed = names.select(
             F.lower("language_code").alias("_code"), F.col("language_name").alias("_name")
+        ).dropDuplicates(["_code"])
+        unlisted = F.when(F.col("_code") == UNKNOWN, FALLBACK_LANGUAGE).otherwise(
+            F.concat(F.lit("ISO: "), F.upper("language_code"))
         )
         named = (
             projects.withColumn("_code", F.lower("language_code")).join(listed, ["_code"], "left")
-            .withColumn("language_name", F.coalesce("_name", language_name(F.col("language_code"))))
+            .withColumn("language_name", F.coalesce("_name", unlisted))
             .drop("_code", "_name")
         )
     columns = [

@@ -1,66 +1,64 @@
 """Publication on Parquet: write a new version, check it, then move the readers over.
 
-A version is a folder of its own and the name that readers use is a catalog view on one version.
-Replacing the view is one catalog operation, so readers see the old table or the new one. A check
-that fails leaves the view where it was.
+A version is a folder of its own, and a commit file next to the data says which version is current
+(``store``), so every session finds it. A check that fails leaves the commit where it was. Sessions that
+work in SQL can put a view over the current version.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
+
+from siltbed.plans import store
 
 Gate = Callable[[DataFrame], None]
 
 
-def _check_name(name: str) -> str:
-    if not re.fullmatch(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)?", name):
-        raise ValueError(f"Not a table name: {name!r}")
-    return name
+@dataclass(frozen=True)
+class Publication:
+    """Rows to publish, a gate that raises if the written rows are not fit, and the partition columns."""
+
+    rows: DataFrame
+    gate: Gate | None = None
+    partition_by: Sequence[str] | None = None
+
 
+def exists(spark: SparkSession, root: str, name: str) -> bool:
+    return store.check_name(name) in store.snapshot(spark, root).tables
 
-def exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(_check_name(name))
+
+def publish_all(
+    spark: SparkSession, root: str, tables: dict[str, Publication], expected: int | None = None
+) -> dict[str, DataFrame]:
+    """Publish several tables as one: all files are written and gated before any becomes visible."""
+    versions = {}
+    for name, table in tables.items():
+        version = store.write_version(table.rows, root, name, table.partition_by)
+        if table.gate is not None:
+            table.gate(store.open_files(spark, version.path, version.schema))
+        versions[name] = version
+    store.commit(spark, root, versions, expected)
+    return {name: store.open_files(spark, v.path, v.schema) for name, v in versions.items()}
 
 
 def publish_table(
-    rows: DataFrame,
-    name: str,
-    root: str,
-    gate: Gate | None = None,
-    partition_by: list[str] | None = None,
+    rows: DataFrame, name: str, root: str, gate: Gate | None = None, partition_by: Sequence[str] | None = None,
+    expected: int | None = None,
 ) -> DataFrame:
     """Write ``rows`` as a new version of ``name``, gate it, and point readers at it.
 
     The gate reads the written files, not the plan, so the checked rows are the published rows.
     Earlier versions stay until an operator removes them, for readers that still hold them.
     """
-    spark = rows.sparkSession
-    path = f"{root.rstrip('/')}/{_check_name(name)}/v={uuid.uuid4().hex}"
-    if partition_by:
-        # Few files per partition, and a partition with very many rows is split again.
-        rows = rows.hint("rebalance", *partition_by)
-    rows.write.mode("errorifexists").parquet(path, partitionBy=partition_by)
-    written = spark.read.schema(rows.schema).parquet(path)
-    if gate is not None:
-        gate(written)
-    if partition_by and written.isEmpty():
-        # Without rows there are no partition folders, so the files would not name all columns.
-        path = f"{path}-empty"
-        spark.createDataFrame([], rows.schema).write.mode("errorifexists").parquet(path)
-    # Partition columns come last and untyped from the files; readers get the declared order and types.
-    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in rows.schema)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`")
-    return spark.table(name)
+    return publish_all(rows.sparkSession, root, {name: Publication(rows, gate, partition_by)}, expected)[name]
 
 
 def create_if_absent(spark: SparkSession, name: str, ddl: str, root: str) -> bool:
     """Publish an empty typed table only where none exists. Returns whether it was created."""
-    if exists(spark, name):
+    if exists(spark, root, name):
         return False
     publish_table(spark.createDataFrame([], ddl), name, root)
     return True
@@ -71,9 +69,13 @@ def snapshot_backup(rows: DataFrame, path: str) -> None:
     rows.write.mode("ignore").parquet(path)
 
 
-def published_or_none(spark: SparkSession, name: str) -> DataFrame | None:
+def published_or_none(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """The published table, or None before its first publication."""
-    try:
-        return spark.table(_check_name(name))
-    except AnalysisException:
-        return None
+    return store.read_table(spark, root, name) if exists(spark, root, name) else None
+
+
+def view_of(spark: SparkSession, root: str, name: str, view: str | None = None) -> DataFrame:
+    """A temporary view over the current version, for SQL in this session."""
+    rows = store.read_table(spark, root, name)
+    rows.createOrReplaceTempView(store.check_name(view or name))
+    return rows

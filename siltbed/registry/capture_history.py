@@ -262,6 +262,12 @@ def _(spark, d):
 # --- type-2 history ------------------------------------------------------------------------
 
 
+def reference_snapshots(spark, d) -> DataFrame:
+    """The stacked snapshots as they arrive: in the second, some addresses are no links."""
+    broken = (F.col("version") == 2) & F.col("site_url").endswith("7")
+    return snapshots(spark, d).withColumn("site_url", F.when(broken, F.lit("none")).otherwise(F.col("site_url")))
+
+
 def _snap_sql() -> str:
     parts = [
         f"SELECT {v} AS version, {CUSTOMER_CODE} AS wiki_code, {name} AS project_name, "
@@ -272,7 +278,7 @@ def _snap_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-_HISTORY = f"""WITH snap AS ({_snap_sql()}),
+HISTORY = f"""WITH snap AS ({_snap_sql()}),
 marked AS (SELECT *, CASE WHEN lag(version) OVER w = version - 1
     AND lag(project_name) OVER w IS NOT DISTINCT FROM project_name
     AND lag(language_code) OVER w IS NOT DISTINCT FROM language_code
@@ -290,12 +296,12 @@ def _built(spark, d) -> DataFrame:
     return hist.scd2_from_snapshots(snapshots(spark, d), "version")
 
 
-@R.query("scd2_from_snapshots", _HISTORY + "SELECT * FROM hist")
+@R.query("scd2_from_snapshots", HISTORY + "SELECT * FROM hist")
 def _(spark, d):
     return _built(spark, d)
 
 
-@R.query("scd2_apply", _HISTORY + "SELECT * FROM hist")
+@R.query("scd2_apply", HISTORY + "SELECT * FROM hist")
 def _(spark, d):
     stacked = snapshots(spark, d)
     first = stacked.filter("version = 1").drop("version")
@@ -309,14 +315,14 @@ def _(spark, d):
     )
 
 
-@R.query("scd2_active", _HISTORY + 'SELECT wiki_code, project_name, note FROM hist WHERE "__END_AT" IS NULL')
+@R.query("scd2_active", HISTORY + 'SELECT wiki_code, project_name, note FROM hist WHERE "__END_AT" IS NULL')
 def _(spark, d):
     return hist.scd2_active(_built(spark, d)).select("wiki_code", "project_name", "note")
 
 
 @R.query(
     "scd2_as_of",
-    _HISTORY
+    HISTORY
     + """SELECT wiki_code, project_name, language_code FROM hist
 WHERE "__START_AT" <= 2 AND ("__END_AT" IS NULL OR "__END_AT" > 2)""",
 )
@@ -338,7 +344,7 @@ def _(spark, d):
 
 @R.query(
     "snapshot_order_guard",
-    _HISTORY
+    HISTORY
     + """SELECT max(greatest("__START_AT", coalesce("__END_AT", 0))) AS newest,
   max(greatest("__START_AT", coalesce("__END_AT", 0))) <= 2 AS accepted FROM hist""",
 )
@@ -353,14 +359,14 @@ _OLD_STATUS = "CASE WHEN o_orderkey % 11 <> 0 THEN o_orderstatus END"
 _NEW_PRICE = "CAST(floor(o_totalprice) AS BIGINT) + CASE WHEN o_orderkey % 9 = 0 THEN 5 ELSE 0 END"
 
 
-def _orders_before(spark, d) -> DataFrame:
+def orders_before(spark, d) -> DataFrame:
     return tables(spark, d, "orders").filter("o_orderkey % 10 <> 3").select(
         "o_orderkey", "o_custkey", F.expr(_OLD_STATUS).alias("o_orderstatus"),
         F.expr("CAST(floor(o_totalprice) AS BIGINT)").alias("price"),
     )
 
 
-def _orders_after(spark, d) -> DataFrame:
+def orders_after(spark, d) -> DataFrame:
     return tables(spark, d, "orders").filter("o_orderkey % 10 <> 7").select(
         "o_orderkey", "o_custkey", F.expr(_OLD_STATUS).alias("o_orderstatus"),
         F.expr(_NEW_PRICE).alias("price"),
@@ -368,10 +374,10 @@ def _orders_after(spark, d) -> DataFrame:
 
 
 def _plan(spark, d) -> DataFrame:
-    return merge.merge_plan(_orders_before(spark, d), _orders_after(spark, d), ["o_orderkey"])
+    return merge.merge_plan(orders_before(spark, d), orders_after(spark, d), ["o_orderkey"])
 
 
-_PLAN = f"""WITH t AS (SELECT o_orderkey, o_custkey, {_OLD_STATUS} AS o_orderstatus,
+PLAN = f"""WITH t AS (SELECT o_orderkey, o_custkey, {_OLD_STATUS} AS o_orderstatus,
     CAST(floor(o_totalprice) AS BIGINT) AS price FROM orders WHERE o_orderkey % 10 <> 3),
 s AS (SELECT o_orderkey, o_custkey, {_OLD_STATUS} AS o_orderstatus, {_NEW_PRICE} AS price
   FROM orders WHERE o_orderkey % 10 <> 7),
@@ -384,53 +390,53 @@ plan AS (SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey, coalesce(s.o
 """
 
 
-@R.query("merge_plan", _PLAN + "SELECT * FROM plan")
+@R.query("merge_plan", PLAN + "SELECT * FROM plan")
 def _(spark, d):
     return _plan(spark, d)
 
 
-@R.query("merge_apply", _PLAN + "SELECT o_orderkey, o_custkey, o_orderstatus, price FROM plan")
+@R.query("merge_apply", PLAN + "SELECT o_orderkey, o_custkey, o_orderstatus, price FROM plan")
 def _(spark, d):
     return merge.merge_apply(_plan(spark, d))
 
 
-@R.query("merge_counts", _PLAN + 'SELECT _action AS action, count(*) AS "rows" FROM plan GROUP BY 1')
+@R.query("merge_counts", PLAN + 'SELECT _action AS action, count(*) AS "rows" FROM plan GROUP BY 1')
 def _(spark, d):
     return merge.merge_counts(_plan(spark, d))
 
 
-@R.query("change_feed", _PLAN + "SELECT * FROM plan WHERE _action IN ('insert', 'update')")
+@R.query("change_feed", PLAN + "SELECT * FROM plan WHERE _action IN ('insert', 'update')")
 def _(spark, d):
     return merge.change_feed(_plan(spark, d))
 
 
 @R.query(
     "chunk_diff",
-    _PLAN
+    PLAN
     + """SELECT o_orderkey, price, CASE _action WHEN 'keep' THEN 'delete' ELSE _action END AS _action
 FROM plan WHERE _action <> 'unchanged'""",
 )
 def _(spark, d):
-    found = merge.chunk_diff(_orders_before(spark, d), _orders_after(spark, d), ["o_orderkey"])
+    found = merge.chunk_diff(orders_before(spark, d), orders_after(spark, d), ["o_orderkey"])
     return found.select("o_orderkey", "price", "_action")
 
 
 # The customers 0, 3, 6, ... are the corpora that the source replaces.
 @R.query(
     "replace_within_corpus",
-    _PLAN.replace("FROM orders WHERE o_orderkey % 10 <> 7)", "FROM orders WHERE o_orderkey % 10 <> 7 AND o_custkey % 3 = 0)")
+    PLAN.replace("FROM orders WHERE o_orderkey % 10 <> 7)", "FROM orders WHERE o_orderkey % 10 <> 7 AND o_custkey % 3 = 0)")
     + """SELECT o_orderkey, o_custkey, price, CASE WHEN _action = 'keep'
   AND o_custkey IN (SELECT o_custkey FROM s) THEN 'delete' ELSE _action END AS _action FROM plan""",
 )
 def _(spark, d):
-    source = _orders_after(spark, d).filter("o_custkey % 3 = 0")
-    plan = merge.replace_within(_orders_before(spark, d), source, ["o_orderkey"], "o_custkey")
+    source = orders_after(spark, d).filter("o_custkey % 3 = 0")
+    plan = merge.replace_within(orders_before(spark, d), source, ["o_orderkey"], "o_custkey")
     return plan.select("o_orderkey", "o_custkey", "price", "_action")
 
 
 @R.query(
     "unchanged_rerun",
-    _PLAN + "SELECT (SELECT count(*) FROM plan) AS unchanged_rows, 0::BIGINT AS changes, true AS idle",
+    PLAN + "SELECT (SELECT count(*) FROM plan) AS unchanged_rows, 0::BIGINT AS changes, true AS idle",
 )
 def _(spark, d):
     state = merge.merge_apply(_plan(spark, d))

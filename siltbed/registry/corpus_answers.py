@@ -24,7 +24,7 @@ START, END = "2024-01-03 00:00:00", "2024-01-27 12:00:00"
 _ELIGIBLE = f"""eligible AS (SELECT wiki, title, count(*) AS event_count FROM silver
   WHERE secs >= epoch_us(TIMESTAMP '{START}') // 1000000 AND secs < epoch_us(TIMESTAMP '{END}') // 1000000
     AND namespace = 0 AND event_type IN ('edit', 'new') AND trim(title) <> '' GROUP BY 1, 2)"""
-_RANKED = f"""{_ELIGIBLE},
+RANKED = f"""{_ELIGIBLE},
 ranked AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY wiki ORDER BY event_count DESC, title) AS INTEGER) AS "rank"
   FROM eligible) WHERE "rank" <= 100)"""
 
@@ -47,7 +47,7 @@ def _(spark, d):
 
 @R.query(
     "rank_pages_per_wiki",
-    on_events(f', {_RANKED} SELECT wiki, title, event_count, "rank" FROM ranked'),
+    on_events(f', {RANKED} SELECT wiki, title, event_count, "rank" FROM ranked'),
 )
 def _(spark, d):
     return _ranked(spark, d)
@@ -110,7 +110,7 @@ def _(spark, d):
 # --- page responses ------------------------------------------------------------------------
 
 
-def _responses(spark, d) -> DataFrame:
+def page_responses(spark, d) -> DataFrame:
     """A page response per document; every way of being unusable occurs."""
     text = lambda c: F.to_json(F.struct(c.alias("x")))
     quoted = lambda c: F.regexp_extract(text(c), r'(?s)^\{"x":(.*)\}$', 1)
@@ -139,7 +139,7 @@ def _responses(spark, d) -> DataFrame:
     return tables(spark, d, "documents").select("doc_id", json.alias("response_json"))
 
 
-_USABLE = r"""WITH r AS (SELECT doc_id, lang, regexp_replace(text, '^\s+|\s+$', '', 'g') AS extract,
+USABLE = r"""WITH r AS (SELECT doc_id, lang, regexp_replace(text, '^\s+|\s+$', '', 'g') AS extract,
   CASE WHEN doc_id % 10 = 3 THEN 'page type' WHEN doc_id % 17 = 5 THEN 'title'
     WHEN doc_id % 19 = 7 OR doc_id % 23 = 4 OR doc_id % 43 = 11 THEN 'page id' WHEN doc_id % 29 = 1 THEN 'extract'
     WHEN doc_id % 37 = 8 OR doc_id % 41 = 9 THEN 'source url' WHEN doc_id % 31 = 2 THEN 'description' END AS reject_reason
@@ -152,12 +152,12 @@ used AS (SELECT doc_id, reject_reason, concat('enwiki:', CAST(doc_id // 3 + 1 AS
 
 @R.query(
     "usable_summaries",
-    _USABLE + """SELECT doc_id, reject_reason, CASE WHEN reject_reason IS NULL THEN document_id END AS document_id,
+    USABLE + """SELECT doc_id, reject_reason, CASE WHEN reject_reason IS NULL THEN document_id END AS document_id,
   CASE WHEN reject_reason IS NULL THEN sha256(body) END AS content_hash,
   CASE WHEN reject_reason IS NULL THEN CAST(doc_id * 3 AS VARCHAR) END AS revision FROM used""",
 )
 def _(spark, d):
-    found = corpus.usable_summaries(_responses(spark, d))
+    found = corpus.usable_summaries(page_responses(spark, d))
     good = F.col("reject_reason").isNull()
     return found.select(
         "doc_id", "reject_reason",
@@ -169,7 +169,7 @@ def _content(spark, d) -> DataFrame:
     """One stored document per canonical id: the one of the lowest source."""
     from siltbed.functions.joins import top_per_group
 
-    found = corpus.usable_summaries(_responses(spark, d)).filter("reject_reason IS NULL")
+    found = corpus.usable_summaries(page_responses(spark, d)).filter("reject_reason IS NULL")
     return top_per_group(found, ["document_id"], [F.asc("doc_id")], 1, "_n").select(
         "document_id", "wiki", "canonical_title", "content_hash"
     )
@@ -182,7 +182,7 @@ _CONTENT = """, content AS (SELECT document_id, arg_min(concat('Doc ', CAST(doc_
 
 @R.query(
     "cache_lookup",
-    _USABLE + _CONTENT + """SELECT 'enwiki' AS wiki, concat('Page ', CAST(doc_id AS VARCHAR)) AS title,
+    USABLE + _CONTENT + """SELECT 'enwiki' AS wiki, concat('Page ', CAST(doc_id AS VARCHAR)) AS title,
   c.document_id, c.canonical_title, c.content_hash
 FROM documents d JOIN content c ON c.document_id = concat('enwiki:', CAST(d.doc_id // 2 + 1 AS VARCHAR))""",
 )
@@ -231,7 +231,7 @@ def _selected(spark, d) -> DataFrame:
     return corpus.select_documents(ranked, lookups, limit=12, budget=18)
 
 
-_SELECTED = f"""{_RANKED},
+_SELECTED = f"""{RANKED},
 found AS (SELECT r.wiki, r.title, r."rank", CASE WHEN d.doc_id % 7 <> 2 THEN d.doc_id // (2 + length(r.wiki) % 3) END AS document_id,
     CASE WHEN d.doc_id % 4 = 0 THEN 0 ELSE 1 END AS cost
   FROM ranked r LEFT JOIN documents d ON r.title = concat('Page ', CAST(d.doc_id AS VARCHAR))),
@@ -276,11 +276,11 @@ def _documents(spark, d) -> DataFrame:
     )
 
 
-def _chunked(spark, d) -> DataFrame:
+def chunked(spark, d) -> DataFrame:
     return chunks.chunk_fixed(_documents(spark, d), F.col("source"))
 
 
-_PIECES = """pieces AS (SELECT source AS corpus_id, concat('doc:', CAST(doc_id AS VARCHAR)) AS document_id, lang AS revision,
+PIECES = """pieces AS (SELECT source AS corpus_id, concat('doc:', CAST(doc_id AS VARCHAR)) AS document_id, lang AS revision,
     doc_id, CAST(i AS INTEGER) AS chunk_index, substr(text, CAST(i * 1800 + 1 AS BIGINT), 1800) AS body
   FROM (SELECT *, unnest(generate_series(0, (length(text) - 1) // 1800)) AS i FROM documents WHERE length(text) > 0)),
 chunked AS (SELECT *, sha256(concat_ws('|', corpus_id, document_id, CAST(chunk_index AS VARCHAR))) AS chunk_id,
@@ -289,7 +289,7 @@ chunked AS (SELECT *, sha256(concat_ws('|', corpus_id, document_id, CAST(chunk_i
 """
 
 
-def _print_sql(fields: list[str]) -> str:
+def print_sql(fields: list[str]) -> str:
     mark = "md5(concat_ws(chr(31), {}))".format(", ".join(fields))
     part = "CAST(coalesce(sum(CAST(('0x' || substr({}, {}, 15)) AS BIGINT)), 0) AS VARCHAR)"
     return (
@@ -297,15 +297,15 @@ def _print_sql(fields: list[str]) -> str:
     )
 
 
-_GENERATION = _print_sql(["chunk_id", "content_hash", "revision", "source_url", "fetched"])
+GENERATION_SQL = print_sql(["chunk_id", "content_hash", "revision", "source_url", "fetched"])
 
 
 @R.query(
     "chunk_fixed",
-    f"WITH {_PIECES} SELECT chunk_id, document_id, corpus_id, chunk_index, length(body) AS chars, content_hash FROM chunked",
+    f"WITH {PIECES} SELECT chunk_id, document_id, corpus_id, chunk_index, length(body) AS chars, content_hash FROM chunked",
 )
 def _(spark, d):
-    return _chunked(spark, d).select(
+    return chunked(spark, d).select(
         "chunk_id", "document_id", "corpus_id", "chunk_index",
         F.length("text").cast("long").alias("chars"), "content_hash",
     )
@@ -313,19 +313,19 @@ def _(spark, d):
 
 @R.query(
     "generation",
-    f"WITH {_PIECES} SELECT corpus_id, {_GENERATION} AS generation, count(*) AS chunk_count FROM chunked GROUP BY 1",
+    f"WITH {PIECES} SELECT corpus_id, {GENERATION_SQL} AS generation, count(*) AS chunk_count FROM chunked GROUP BY 1",
 )
 def _(spark, d):
-    return chunks.generation(_chunked(spark, d))
+    return chunks.generation(chunked(spark, d))
 
 
 # The base corpus holds the chunks of all documents; the pages are the project documents.
-_COMBINED = f"""WITH {_PIECES},
+_COMBINED = f"""WITH {PIECES},
 base AS (SELECT *, sha256(concat_ws('|', 'base', chunk_id)) AS base_chunk FROM chunked),
-gen AS (SELECT {_print_sql(["base_chunk", "content_hash", "revision", "source_url", "fetched"])} AS generation FROM base),
+gen AS (SELECT {print_sql(["base_chunk", "content_hash", "revision", "source_url", "fetched"])} AS generation FROM base),
 pg AS (SELECT concat('page:', CAST(page_id AS VARCHAR)) AS document_id, html, sha256(html) AS content_hash FROM pages),
 ident AS (SELECT substr(sha256(concat_ws('|', 'base', (SELECT generation FROM gen),
-  {_print_sql(["document_id", "content_hash"])})), 1, 24) AS corpus_id FROM pg),
+  {print_sql(["document_id", "content_hash"])})), 1, 24) AS corpus_id FROM pg),
 page_pieces AS (SELECT document_id, CAST(i AS INTEGER) AS chunk_index,
     substr(html, CAST(i * 1800 + 1 AS BIGINT), 1800) AS body
   FROM (SELECT *, unnest(generate_series(0, (length(html) - 1) // 1800)) AS i FROM pg WHERE length(html) > 0)),
@@ -337,7 +337,7 @@ combined AS (SELECT ident.corpus_id, sha256(concat_ws('|', ident.corpus_id, base
 
 
 def _base(spark, d) -> DataFrame:
-    rows = _chunked(spark, d).withColumn("corpus_id", F.lit("base"))
+    rows = chunked(spark, d).withColumn("corpus_id", F.lit("base"))
     keyed = rows.withColumn("chunk_id", chunks.chunk_id("corpus_id", "chunk_id"))
     return chunks.with_generation(keyed)
 
@@ -368,7 +368,7 @@ def _(spark, d):
 # The manifest names the second generation, which lacks the documents of one language; "wrong set" promises them.
 @R.query(
     "base_gate",
-    f"""WITH {_PIECES}, held AS (SELECT * FROM chunked WHERE revision <> 'de'),
+    f"""WITH {PIECES}, held AS (SELECT * FROM chunked WHERE revision <> 'de'),
 c AS (SELECT count(*) AS chunks, count(DISTINCT document_id) AS documents FROM held),
 u AS (SELECT count(DISTINCT document_id) AS lost FROM chunked WHERE revision = 'de')
 SELECT 'right set' AS asked, chunks, documents, 0::BIGINT AS project_chunks, 0::BIGINT AS unmatched_documents,
@@ -376,7 +376,7 @@ SELECT 'right set' AS asked, chunks, documents, 0::BIGINT AS project_chunks, 0::
 UNION ALL SELECT 'wrong set', chunks, documents, 0, lost, 'READY', chunks, documents, lost = 0 FROM c, u""",
 )
 def _(spark, d):
-    rows = _chunked(spark, d).withColumn("corpus_id", F.lit("base"))
+    rows = chunked(spark, d).withColumn("corpus_id", F.lit("base"))
     second = rows.filter("revision <> 'de'").withColumn("generation", F.lit("g2"))
     both = rows.withColumn("generation", F.lit("g1")).unionByName(second)
     manifest = second.groupBy("corpus_id", "generation").agg(
@@ -449,11 +449,11 @@ def _(spark, d):
 
 @R.query(
     "unchanged_chunks_rerun",
-    f"WITH {_PIECES} SELECT 'unchanged' AS action, count(*) AS \"rows\" FROM chunked",
+    f"WITH {PIECES} SELECT 'unchanged' AS action, count(*) AS \"rows\" FROM chunked",
 )
 def _(spark, d):
     columns = ["chunk_id", "document_id", "corpus_id", "content_hash", "revision", "source_url"]
-    first, second = (_chunked(spark, d).select(columns) for _ in range(2))
+    first, second = (chunked(spark, d).select(columns) for _ in range(2))
     return merge_counts(merge_plan(first, second, ["chunk_id"]))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.functions.masking import mask_ip, mask_user
+from siltbed.functions.masking import mask_ip, mask_user, register_masks
 from siltbed.operators import alerts, checks, dimensions, facts, parse, policies, quality
 from siltbed.operators.dedup import KEY, dedup_batch, duplicate_payloads, event_key, key_kinds
 from siltbed.plans import analytics as an
@@ -430,6 +430,21 @@ def _(spark, d):
     )
 
 
+# A published list that knows every second code of the test tables.
+@R.query(
+    "language_names_listed",
+    on_reference("""SELECT wiki_code, coalesce(language_code, 'unknown') AS language_code,
+  CASE WHEN language_code IS NULL THEN 'Other / Technical' WHEN ascii(right(language_code, 1)) % 2 = 0 THEN concat('Name of ', language_code)
+    ELSE concat('ISO: ', upper(language_code)) END AS language_name FROM ref
+UNION ALL SELECT 'unknown', 'unknown', 'Other / Technical'"""),
+)
+def _(spark, d):
+    rows = reference(spark, d)
+    known = rows.select("language_code").distinct().filter(F.ascii(F.right("language_code", F.lit(1))) % 2 == 0)
+    names = known.select(F.upper("language_code").alias("language_code"), F.concat(F.lit("Name of "), "language_code").alias("language_name"))
+    return dimensions.dim_project(rows, fixed_now(), names).select("wiki_code", "language_code", "language_name")
+
+
 @R.query(
     "language_code_census",
     on_reference("SELECT language_code, count(*) AS projects FROM ref GROUP BY 1"),
@@ -912,6 +927,31 @@ def _(spark, d):
     return fact(spark, d).select("event_id", mask_ip(F.col("user")).alias("user"))
 
 
+@R.query(
+    "sql_policies",
+    on_star(
+        """SELECT * FROM (SELECT 'reader' AS seen_by, concat(substr("user", 1, 2), '***') AS "user", editor_type_key, count(*) AS edits
+  FROM fact WHERE editor_type_key IN (1, 2) GROUP BY ALL
+UNION ALL SELECT 'auditor', "user", editor_type_key, count(*) FROM fact GROUP BY ALL)"""
+    ),
+)
+def _(spark, d):
+    """The SQL functions as mask and row filter of a view, as a SQL user would put them there."""
+    register_masks(spark)
+    fact(spark, d).createOrReplaceTempView("policy_facts")
+    views = {"reader": "false", "auditor": "true"}
+    seen = []
+    for role, privileged in views.items():
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY VIEW facts_for_{role} AS SELECT * EXCEPT (user), mask_user(user, {privileged}) AS user "
+            f"FROM policy_facts WHERE edit_visible(editor_type_key, {privileged})"
+        )
+        seen.append(spark.sql(
+            f"SELECT '{role}' AS seen_by, user, editor_type_key, count(*) AS edits FROM facts_for_{role} GROUP BY ALL"
+        ))
+    return checks.all_checks(seen)
+
+
 @R.query(
     "row_policy",
     on_star(

@@ -14,7 +14,7 @@ from siltbed.registry import events_gold
 
 DATA = "/root/testdata/sf0.001"
 # Queries that drain a stream, publish or store an index while they are built.
-EAGER = re.compile("stream|append_sink|rerun|late_ledger|landing|publish|create_if|backup|retrieve_(vector|keyword|hybrid)")
+EAGER = re.compile("stream|append_sink|rerun|late_ledger|landing|publish|create_if|backup|feed_|corpus_commit|prepare_corpus|reference_history|generation_from_feed|retrieve_(vector|keyword|hybrid)")
 PYTHON = {"md_sections", "md_blocks", "chunk_markdown"}
 LIBRARY = {n: q for r in all_registries() for n, q in r.queries.items()}
 LAZY = [n for n in LIBRARY if not EAGER.search(n)]

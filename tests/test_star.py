@@ -9,7 +9,10 @@ from siltbed.functions.masking import mask_ip, mask_user, register_masks
 from siltbed.functions.languages import language_name
 from siltbed.operators import alerts, checks, dimensions, facts, policies
 from siltbed.plans import analytics, jobs
-from siltbed.plans.publish import create_if_absent, exists, publish_table, published_or_none, snapshot_backup
+from siltbed.plans import feed, store
+from siltbed.plans.publish import (
+    Publication, create_if_absent, exists, publish_all, publish_table, published_or_none, snapshot_backup, view_of,
+)
 from siltbed.schemas import FACT, REFERENCE
 from siltbed.sources import sites
 
@@ -185,43 +188,130 @@ def test_analytics_on_the_small_star(spark):
 
 def test_publication(spark, tmp_path):
     root = str(tmp_path)
-    assert published_or_none(spark, "t_pub") is None
-    assert create_if_absent(spark, "t_pub", FACT, root) and exists(spark, "t_pub")
-    assert spark.table("t_pub").count() == 0 and not create_if_absent(spark, "t_pub", FACT, root)
+    assert published_or_none(spark, root, "t_pub") is None
+    assert create_if_absent(spark, "t_pub", FACT, root) and exists(spark, root, "t_pub")
+    read = lambda name="t_pub", **at: store.read_table(spark.newSession(), root, name, **at)
+    assert read().count() == 0 and not create_if_absent(spark, "t_pub", FACT, root)
     _, _, rows = star(spark)
+    held = read()
     publish_table(rows, "t_pub", root, partition_by=["date_key"])
-    assert spark.table("t_pub").count() == 3
-    assert spark.table("t_pub").dtypes == rows.dtypes
+    assert read().count() == 3 and held.count() == 0  # a frame stays with the version it was opened on
+    assert read().dtypes == rows.dtypes and read(number=1).count() == 0
     assert publish_table(rows.filter("false"), "t_none", root, partition_by=["date_key"]).dtypes == rows.dtypes
-    assert spark.table("t_none").count() == 0
+    assert read("t_none").count() == 0 and read().count() == 3
     with pytest.raises(checks.CheckFailed):
         publish_table(
             rows.filter("false"), "t_pub", root,
             lambda w: checks.require_clean(checks.gold_not_empty(w)),
         )
-    assert spark.table("t_pub").count() == 3
+    assert read().count() == 3
     with pytest.raises(ValueError):
         publish_table(rows, "bad name; drop", root)
+    with pytest.raises(KeyError):
+        read("absent")
+    with pytest.raises(KeyError):
+        read(number=99)
+    assert view_of(spark, root, "t_pub", "seen_pub").count() == spark.table("seen_pub").count() == 3
     snapshot_backup(rows, root + "/copy")
     snapshot_backup(rows.filter("false"), root + "/copy")
     assert spark.read.parquet(root + "/copy").count() == 3
 
 
-def test_both_jobs(spark, tmp_path):
+def test_of_two_publishers_one_wins(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.range(3)
+    start = store.snapshot(spark, root)
+    assert start.number == 0 and not start.tables
+    versions = [store.write_version(rows.limit(n), root, "t") for n in (1, 2)]
+    store.commit(spark, root, {"t": versions[0]}, start.number)
+    with pytest.raises(store.Conflict):
+        store.commit(spark, root, {"t": versions[1]}, start.number)
+    assert store.read_table(spark, root, "t").count() == 1
+    assert not store._Files(spark, root).create(1, {"changed": [], "tables": {}})  # the number is taken
+    assert store.commit(spark, root, {"t": versions[1]}).number == 2  # without an expectation the last one counts
+    assert store.read_table(spark, root, "t").count() == 2
+    assert not [f for f in (tmp_path / "_commits").iterdir() if "draft" in f.name]
+
+
+def test_tables_change_together(spark, tmp_path):
+    root = str(tmp_path)
+    publish_all(spark, root, {"a": Publication(spark.range(1)), "b": Publication(spark.range(1))})
+
+    def stop(written):
+        raise checks.CheckFailed("stop")
+
+    with pytest.raises(checks.CheckFailed):
+        publish_all(spark, root, {"a": Publication(spark.range(5)), "b": Publication(spark.range(5), stop)})
+    assert [store.read_table(spark, root, n).count() for n in "ab"] == [1, 1]
+    publish_all(spark, root, {"a": Publication(spark.range(5)), "b": Publication(spark.range(5))})
+    assert [store.read_table(spark, root, n).count() for n in "ab"] == [5, 5]
+
+
+def test_feed(spark, tmp_path):
+    root, copy = str(tmp_path / "source"), str(tmp_path / "copy")
+    states = [
+        [(1, "a", None), (2, "b", 1), (None, "n", 1)],
+        [(1, "a", 5), (3, "c", 1), (None, "m", 1)],
+        [(2, "b", 2), (3, "c", 1), (None, "m", 1)],
+    ]
+    ddl = "k int, name string, n int"
+    for state in states:
+        feed.publish_changes(spark.createDataFrame(state, ddl), "t", root, ["k"])
+        assert feed.follow(spark, (root, "t"), copy, "t", ["k"]) == 1
+        assert feed.follow(spark, (root, "t"), copy, "t", ["k"]) == 0
+        rows = store.read_table(spark, copy, "t").collect()
+        assert sorted(map(str, map(tuple, rows))) == sorted(map(str, state))
+    changes, position = feed.changes_since(spark, root, "t", 1)
+    assert position == 3 and feed.changes_since(spark, root, "t", 3) == (None, 3)
+    kinds = sorted((r._commit, r._action, str(r.k)) for r in changes.collect())
+    assert kinds == sorted([
+        (2, "before", "1"), (2, "update", "1"), (2, "delete", "2"), (2, "insert", "3"), (2, "before", "None"), (2, "update", "None"),
+        (3, "delete", "1"), (3, "insert", "2"),
+    ])
+    late = str(tmp_path / "late")
+    assert feed.follow(spark, (root, "t"), late, "t", ["k"]) == 3
+    assert store.read_table(spark, late, "t").count() == 3
+    publish_table(spark.createDataFrame(states[0], ddl), "t", root)
+    with pytest.raises(ValueError, match="without a change feed"):
+        feed.follow(spark, (root, "t"), late, "t", ["k"])
+
+
+def test_all_jobs(spark, tmp_path):
     root = str(tmp_path)
-    history = jobs.reference_start(spark, REFERENCE)
     raw = reference(spark).union(spark.createDataFrame([("bad", "B", "b", "www.b")], REFERENCE))
-    history, rejected = jobs.reference_history(history, raw, F.lit(NOW))
-    assert [r.wiki_code for r in rejected.collect()] == ["bad"]
+    found = jobs.publish_history(raw, F.lit(NOW).cast("timestamp"), root)
+    assert [r.wiki_code for r in found[jobs.REJECTED_REFERENCE].collect()] == ["bad"]
+    history = found[jobs.HISTORY]
     jobs.publish_reference(jobs.active_projects(history), root)
     jobs.publish_calendar(spark, dimensions.calendar_between(spark, "2024-01-01", "2024-12-31"), root)
+    publish_table(clean(spark), jobs.CLEAN, root)
     for _ in range(2):
-        assert jobs.publish_facts(clean(spark), root).count() == 3
+        assert jobs.publish_facts(spark, root).count() == 3
+    publish_table(clean(spark).union(clean(spark)), jobs.CLEAN, root)
+    held = store.snapshot(spark, root).number
     with pytest.raises(checks.CheckFailed):
         jobs.publish_reference(jobs.active_projects(history).filter("false"), root)
-    assert spark.table(jobs.PROJECTS).count() == 3
-    with pytest.raises(checks.CheckFailed, match="more than once"):
-        jobs.reference_history(history, raw.union(raw), F.lit(NOW))
+    for bad, at in ((raw.union(raw), NOW), (raw, NOW - dt.timedelta(days=1))):  # a project twice; older than the last
+        with pytest.raises(checks.CheckFailed):
+            jobs.publish_history(bad, F.lit(at).cast("timestamp"), root)
+    assert store.snapshot(spark, root).number == held
+    assert store.read_table(spark, root, jobs.PROJECTS).count() == 3
+
+
+def test_the_inbox_is_read_once(spark, tmp_path):
+    """Clean rows, quarantine and the check between them come from one pass over the inbox."""
+    from siltbed.plans.refine import refine
+    from siltbed.sources.recast import inbox
+
+    source = str(tmp_path / "inbox")
+    inbox(spark, "/root/testdata/sf0.001").write.parquet(source)
+    rows = refine(spark.read.parquet(source))
+    found = jobs.publish_events(rows, str(tmp_path / "gold"))
+    for part in found.values():
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in plan and source not in plan
+    total = sum(part.count() for part in found.values())
+    assert 0 < total <= rows.count()
 
 
 def test_site_listing(spark, tmp_path):
