@@ -175,21 +175,44 @@ def fallback_events(facts: DataFrame, projects: DataFrame) -> DataFrame:
 def kpi_summary(facts: DataFrame, approximate: bool = False) -> DataFrame:
     """The seven headline metrics in one row.
 
-    The exact form counts distinct titles and minutes through their own partial aggregates, so
-    no task holds the set of all titles; ``approximate`` uses sketches instead.
+    The exact form reads the facts once and copies no row. The first aggregate has a row per title with its
+    sums and the minutes in which it was edited (at most one per minute, however hot the title); the
+    second a row per minute, to which each title brings its sums once. Counting the rows of both
+    gives the distinct titles and minutes. ``approximate`` uses sketches instead.
     """
-    distinct = F.approx_count_distinct if approximate else F.countDistinct
     minute = F.date_trunc("minute", "event_time")
-    return facts.agg(
-        F.count("event_id").alias("total_edits"),
-        F.round(count_where(F.col("editor_type_key") == BOT_KEY) / F.count("event_id"), 4).alias(
-            "bot_share"
-        ),
-        F.round(F.sum("abs_byte_change") / F.count("abs_byte_change"), 2).alias("avg_edit_size"),
-        F.sum("byte_change").alias("net_content_change"),
-        F.round(count_where(F.col("is_minor_edit")) / F.count("*"), 4).alias("minor_edit_ratio"),
-        F.round(F.count("event_id") / distinct(minute), 4).alias("edits_per_minute"),
-        distinct(F.col("title")).alias("active_pages"),
+    sums = {
+        "edits": F.count("event_id"), "rows": F.count("*"), "bots": count_where(F.col("editor_type_key") == BOT_KEY),
+        "minor": count_where(F.col("is_minor_edit")), "sizes": F.count("abs_byte_change"),
+        "size": F.sum("abs_byte_change"), "net": F.sum("byte_change"),
+    }
+    if approximate:
+        counted = facts.agg(
+            *[c.alias(n) for n, c in sums.items()], F.approx_count_distinct(minute).alias("minutes"),
+            F.approx_count_distinct("title").alias("titles"),
+        )
+    else:
+        titles = facts.groupBy("title").agg(*[c.alias(n) for n, c in sums.items()], F.collect_set(minute).alias("_minutes"))
+        met = titles.select("*", F.posexplode_outer("_minutes").alias("_place", "_minute"))
+        once_each = F.coalesce("_place", F.lit(0)) == 0
+        minutes = met.groupBy("_minute").agg(
+            *[F.sum(F.when(once_each, F.col(n))).alias(n) for n in sums],
+            count_where(once_each & F.col("title").isNotNull()).alias("titles"),
+        )
+        counted = minutes.agg(
+            *[F.sum(n).alias(n) for n in (*sums, "titles")], F.count("_minute").alias("minutes")
+        )
+        zero = ("edits", "rows", "bots", "minor", "sizes", "titles")
+        counted = counted.withColumns({n: F.coalesce(n, F.lit(0)) for n in zero})
+    part = lambda x, y: F.col(x) / F.when(F.col(y) != 0, F.col(y))
+    return counted.select(
+        F.col("edits").alias("total_edits"),
+        F.round(part("bots", "edits"), 4).alias("bot_share"),
+        F.round(part("size", "sizes"), 2).alias("avg_edit_size"),
+        F.col("net").alias("net_content_change"),
+        F.round(part("minor", "rows"), 4).alias("minor_edit_ratio"),
+        F.round(part("edits", "minutes"), 4).alias("edits_per_minute"),
+        F.col("titles").alias("active_pages"),
     )
 
 

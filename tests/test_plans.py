@@ -96,3 +96,16 @@ def test_fingerprint_never_collects(spark, no_broadcast):
     )
     text = plan(chunks.generation(rows))
     assert "collect_list" not in text and "partial_sum" in text
+
+
+def test_kpi_summary_reads_once_and_copies_no_row(spark, no_broadcast):
+    from siltbed.plans import analytics
+
+    columns = (
+        "event_id LONG, title STRING, event_time TIMESTAMP, editor_type_key INT, byte_change LONG, abs_byte_change LONG, "
+        "is_minor_edit BOOLEAN"
+    )
+    text = plan(analytics.kpi_summary(spark.createDataFrame([], columns)))
+    assert "Expand" not in text and text.count("Scan") == 1 and "partial_" in text
+    row = analytics.kpi_summary(spark.createDataFrame([], columns)).first()
+    assert (row.total_edits, row.active_pages, row.bot_share, row.edits_per_minute) == (0, 0, None, None)
