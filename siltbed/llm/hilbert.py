@@ -51,18 +51,64 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
+def string_cuts(rows: DataFrame, name: str, bits: int) -> list[str]:
+    """At most ``2**bits - 1`` values that cut the rows into even runs of whole strings, in their order.
+
+    Exact over all rows: values are counted, sorted by ranges, and a value is a cut where the running count
+    passes a share of the total, as often as it passes one, so that few values still spread over all
+    cells. What reaches the driver is a number per task and the cuts.
+    """
+    value = F.col(f"`{name}`").cast("string")
+    counts = rows.groupBy(value.alias("v")).agg(F.count("*").alias("n")).filter("v IS NOT NULL")
+    ranged = work_table(counts.repartitionByRange("v").withColumn("r", F.spark_partition_id()), "hilbert-values")
+    sizes = sorted(tuple(r) for r in ranged.groupBy("r").agg(F.sum("n")).collect())
+    total, before, starts = sum(n for _, n in sizes), 0, []
+    for number, n in sizes:
+        starts.append((number, before))
+        before += n
+    if not total:
+        return []
+    offsets = rows.sparkSession.createDataFrame(starts, "r int, _before long")
+    running = F.sum("n").over(Window.partitionBy("r").orderBy("v")) + F.col("_before")
+    share = lambda count: F.floor(count * 2**bits / total)
+    # One row per task of the sort: a size fixed by the job, not by the data.
+    placed = ranged.join(F.broadcast(offsets), "r").withColumn("_upto", running)
+    times = share(F.col("_upto")) - share(F.col("_upto") - F.col("n"))
+    passed = placed.withColumn("_times", times).filter((F.col("_times") > 0) & (F.col("_upto") < total))
+    return sorted(v for v, times in passed.select("v", "_times").collect() for _ in range(times))
+
+
 def ordinal(rows: DataFrame, name: str) -> Column:
-    """A number that orders like the column: the value, or the first seven bytes of a string."""
+    """A number that orders like the column, for columns that are no strings."""
     kind = rows.schema[name].dataType
     column = F.col(f"`{name}`")
-    if isinstance(kind, T.StringType):
-        hexed = F.rpad(F.hex(F.substring(column.cast("binary"), 1, 7)), 14, "0")
-        return F.conv(hexed, 16, 10).cast("double")
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(column.cast("timestamp")).cast("double")
     return column.cast("double")
 
 
+def _below(cuts: Column, value: Column) -> Column:
+    return F.size(F.filter(cuts, lambda cut: cut < value)).cast("double")
+
+
+def cells(rows: DataFrame, dimensions: Sequence[str], bits: int) -> list[tuple[Column, list[float]]]:
+    """For every dimension a number and the cut points between its cells.
+
+    Strings are compared whole: their number is that of the cuts below them. Numbers and times are cut
+    at quantiles over all rows.
+    """
+    strings = [d for d in dimensions if isinstance(rows.schema[d].dataType, T.StringType)]
+    others = [d for d in dimensions if d not in strings]
+    cuts = cell_numbers(rows, others, bits) if others else []
+    found = {d: (ordinal(rows, d), c) for d, c in zip(others, cuts, strict=True)}
+    for name in strings:
+        values = string_cuts(rows, name, bits)
+        column = F.col(f"`{name}`").cast("string")
+        listed = F.array(*[F.lit(v) for v in values]).cast("array<string>")
+        found[name] = (F.when(column.isNotNull(), _below(listed, column)), [float(i) for i in range(len(values))])
+    return [found[d] for d in dimensions]
+
+
 def cell_numbers(rows: DataFrame, dimensions: Sequence[str], bits: int) -> list[list[float]]:
     """Cut points of every dimension: at most ``2**bits - 1`` quantiles over all rows."""
     shares = [i / 2**bits for i in range(1, 2**bits)]
@@ -70,7 +116,7 @@ def cell_numbers(rows: DataFrame, dimensions: Sequence[str], bits: int) -> list[
         F.percentile_approx(ordinal(rows, d), shares, 10_000).alias(f"q{i}")
         for i, d in enumerate(dimensions)
     ]).first()
-    return [sorted(set(cuts)) if cuts else [] for cuts in found]
+    return [sorted(cuts) if cuts else [] for cuts in found]
 
 
 def hilbert_shards(
@@ -86,8 +132,8 @@ def hilbert_shards(
     Shards are runs of the curve; with ``n = shards * q + r`` rows the first ``r`` shards have
     ``q + 1`` rows and the others ``q``, so an empty table has none and a table with fewer rows than
     shards leaves the last shards empty. Rows of one cell follow ``tie``, then ``key``; rows equal
-    in all of these take neighbouring slots in no particular order. NULL in a dimension is the
-    lowest cell, before every value. Any other column is carried along untouched; a column already
+    in all of these take neighbouring slots in no particular order. Strings are cut as whole strings, so a
+    common prefix takes nothing from a dimension. NULL in a dimension is in the lowest cell. Any other column is carried along untouched; a column already
     called ``hilbert``, ``shard`` or ``slot`` is refused.
 
     No row meets all others: the sort is by ranges that include the key, so one hot cell or value
@@ -98,7 +144,8 @@ def hilbert_shards(
     if clash:
         raise ValueError(f"The rows already have columns {sorted(clash)}")
     spark = rows.sparkSession
-    cuts = cell_numbers(rows, dimensions, bits)
+    placed = cells(rows, dimensions, bits)
+    cuts = [c for _, c in placed]
 
     def index(values: pd.DataFrame) -> pd.Series:
         columns = []
@@ -113,7 +160,7 @@ def hilbert_shards(
     order = [CURVE, *tie, key]
     ranges, place = distinct_name(rows, "_range"), distinct_name(rows, "_place")
     indexed = rows.withColumn(CURVE, curve(F.struct(*[
-        ordinal(rows, d).alias(f"d{i}") for i, d in enumerate(dimensions)
+        number.alias(f"d{i}") for i, (number, _) in enumerate(placed)
     ])))
     ranged = work_table(
         indexed.repartitionByRange(tasks, *order).withColumn(ranges, F.spark_partition_id()),

@@ -22,8 +22,7 @@ def _lines(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
     """One row per line of at least ``min_chars`` characters, with a 96-bit key of the line."""
     split = docs.select("_rid", "_key", "_site", F.posexplode(F.split(F.col(text), "\n", -1)).alias("_line", "_value"))
     return split.filter(F.length("_value") >= min_chars).select(
-        "_rid", "_key", "_site", "_line", F.length("_value").alias("_chars"),
-        F.xxhash64("_value").alias("_h1"), F.hash("_value").alias("_h2"),
+        "_rid", "_key", "_site", "_line", F.xxhash64("_value").alias("_h1"), F.hash("_value").alias("_h2"),
     )
 
 
@@ -62,16 +61,15 @@ def drop_spread_lines(
     text: str = "text",
     site: str = "source",
     min_sites: int = 10,
-    min_chars: int = 10,
-    max_share: float | None = 0.5,
+    min_chars: int = 1,
+    keep_copies: bool = False,
 ) -> DataFrame:
     """``docs`` with the lines removed that stand on ``min_sites`` sites or more.
 
-    Lines end at a line feed and are compared as they are; lines shorter than ``min_chars`` stay. A
-    document that would lose more than ``max_share`` of its characters is left whole, which also spares
-    short pages that are mostly boilerplate. With None only copies are left whole (for near-duplicate
-    removal): documents whose whole text itself stands on ``min_sites`` sites; all others lose every
-    such line, whatever remains. The remaining lines keep their order. Adds ``n_lines`` and ``n_removed``; ``n_removed`` is 0 and the
+    Lines end at a line feed and are compared as they are; lines shorter than ``min_chars`` stay, which by
+    default are the empty ones. Every document loses every such line, whatever remains of it. With
+    ``keep_copies`` documents whose whole text itself stands on ``min_sites`` sites are left whole (for near-duplicate
+    removal, which keeps one of them). The remaining lines keep their order. Adds ``n_lines`` and ``n_removed``; ``n_removed`` is 0 and the
     text unchanged where nothing goes, and a NULL text stays NULL with no lines. NULL is no site.
     Rows equal in key and text are treated alike; other columns pass through, and columns called
     ``n_lines`` or ``n_removed`` are refused.
@@ -79,7 +77,7 @@ def drop_spread_lines(
     if {"n_lines", "n_removed"} & {c.lower() for c in docs.columns}:
         raise ValueError("The rows already have a column n_lines or n_removed")
     rid = distinct_name(docs, "_rid")
-    hit = {c: distinct_name(docs, f"_hit{c}") for c in ("_rid", "_key", "_gone", "_lost")}
+    hit = {c: distinct_name(docs, f"_hit{c}") for c in ("_rid", "_key", "_gone")}
     rows = docs.withColumn(rid, F.xxhash64(F.col(key), F.col(text)))
     slim = rows.select(F.col(rid).alias("_rid"), F.col(key).alias("_key"), F.col(site).cast("string").alias("_site"), text)
     lines = _lines(slim, text, min_chars)
@@ -87,21 +85,19 @@ def drop_spread_lines(
     # Rows equal in key and text give the same lines twice: the set of line numbers is the same.
     hits = (
         lines.join(spread, ["_h1", "_h2"], "left_semi")
-        .groupBy("_rid", "_key", "_line").agg(F.first("_chars").alias("_chars"))
-        .groupBy("_rid", "_key").agg(F.collect_list("_line").alias("_gone"), F.sum("_chars").alias("_lost"))
+        .groupBy("_rid", "_key", "_line").agg(F.count("*"))
+        .groupBy("_rid", "_key").agg(F.collect_list("_line").alias("_gone"))
         .select(*[F.col(c).alias(n) for c, n in hit.items()])
     )
-    if max_share is None:
+    if keep_copies:
         copies = copied_texts(slim, text, min_sites).select("_rid", "_key").distinct()
         copied = (F.col(hit["_rid"]) == F.col("_rid")) & F.col(hit["_key"]).eqNullSafe(F.col("_key"))
         hits = hits.join(work_table(copies, "line-copies"), copied, "left_anti")
     hits = work_table(hits, "line-hits")
     same = (F.col(rid) == F.col(hit["_rid"])) & F.col(key).eqNullSafe(F.col(hit["_key"]))
     joined = rows.join(hits, same, "left")
-    gone, lost = F.col(hit["_gone"]), F.col(hit["_lost"])
-    kept_whole = lost.isNull()
-    if max_share is not None:
-        kept_whole = kept_whole | (lost > max_share * F.length(text))
+    gone = F.col(hit["_gone"])
+    kept_whole = gone.isNull()
     parts = F.split(F.col(text), "\n", -1)
     numbers = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
     left = F.array_join(F.transform(numbers, lambda i: F.get(parts, i)), "\n")

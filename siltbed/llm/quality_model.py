@@ -13,14 +13,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltbed.llm.common import RollingHash, raw_bytes, slices, word_spans
 
 PASSAGE_WORDS = 64
-MAX_TRAINING = 4000
+MAX_TRAINING = 4000  # labelled rows that are learned from
+MAX_PASSAGES = 200_000  # of those rows together; a row has a twentieth of that at most
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 5, 0
 SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -165,13 +166,15 @@ def held_out(key: str) -> Column:
 
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-    max_training: int = MAX_TRAINING,
+    max_training: int = MAX_TRAINING, max_passages: int = MAX_PASSAGES,
 ) -> BagModel:
     """Learn from at most ``max_training`` labelled rows outside the held-out fold.
 
-    The sample is the rows with the smallest hash of their key, so it is the same on every run. A key
-    labelled more than once takes the rounded mean; NULL labels and keys are left out. Without labels,
-    or with one kind only, the model is a constant. The passages of the sample reach the driver.
+    The sample is the keys with the smallest hash, so it is the same on every run. A key labelled more than once
+    takes the rounded mean, one that stands on several rows is learned from one of them (the text with the
+    smallest hash); NULL labels and keys are left out. Without labels, or with one kind only, the
+    model is a constant. Only the passages of the sample reach the driver, ``max_passages`` at most: a
+    row with more than a twentieth of that is not learned from, and rows end where the bound is reached.
     """
     known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key))
     known = known.groupBy(key).agg(F.round(F.avg(label)).cast("int").alias("_label"))
@@ -182,8 +185,10 @@ def fit(
         return train(np.zeros(0, int), np.zeros((0, N_FEATURES)), np.zeros(0))
     kind = docs.schema[key].dataType.simpleString()
     sample = docs.sparkSession.createDataFrame(chosen, f"`{key}` {kind}, _label int")
-    # Bounded by max_training rows.
+    # Bounded by max_training rows; of a repeated key one row is enough.
     rows = ids.join(F.broadcast(sample), key)
+    one = F.struct(F.xxhash64(text), F.coalesce(text, F.lit("")))
+    rows = rows.groupBy(key, "_label").agg(F.min(one).alias("_one")).select(key, "_label", F.col("_one.col2").alias(text))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll = RollingHash()
@@ -195,7 +200,12 @@ def fit(
                 [part.column(key), part.column("_label"), pa.array(blobs, pa.binary())], [key, "_label", "x"]
             )
 
-    found = rows.mapInArrow(encode, f"`{key}` {kind}, _label int, x binary").orderBy(key, "x").collect()
+    encoded = rows.mapInArrow(encode, f"`{key}` {kind}, _label int, x binary")
+    width = 4 * N_FEATURES
+    encoded = encoded.filter(F.octet_length("x") <= width * max_passages // 20)
+    # A window over max_training rows, whatever the table.
+    so_far = F.sum(F.octet_length("x")).over(Window.orderBy(F.xxhash64(key), key))
+    found = encoded.withColumn("_n", so_far).filter(F.col("_n") <= width * max_passages).orderBy(key, "x").collect()
     features = [np.frombuffer(r["x"], "<f4").reshape(-1, N_FEATURES).astype(float) for r in found]
     bags = np.repeat(np.arange(len(found)), [len(f) for f in features])
     targets = np.array([r["_label"] for r in found], float)

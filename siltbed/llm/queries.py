@@ -195,27 +195,24 @@ def op9_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(parquet(spark, sf_dir, "documents"))
 
 
-MIN_SITES, MIN_CHARS, MAX_SHARE = 10, 10, 0.5
+MIN_SITES = 10
 
 LINE_SQL = f"""
 WITH l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
     unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
-s AS (SELECT line FROM l WHERE length(line) >= {MIN_CHARS} GROUP BY line
-  HAVING count(DISTINCT source) >= {MIN_SITES}),
+s AS (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= {MIN_SITES}),
 h AS (SELECT l.*, s.line IS NOT NULL AS spread FROM l LEFT JOIN s USING (line)),
 d AS (SELECT doc_id, text, count(*) AS n_lines, count(*) FILTER (spread) AS hits,
-    coalesce(sum(length(line)) FILTER (spread), 0) > {MAX_SHARE} * length(text) AS whole,
     coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT spread), '') AS rest FROM h GROUP BY doc_id, text)
-SELECT o.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines,
-    (CASE WHEN d.doc_id IS NULL OR whole THEN 0 ELSE hits END)::BIGINT AS n_removed,
-    md5(CASE WHEN whole OR hits = 0 THEN d.text ELSE rest END) AS kept_md5
+SELECT o.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(hits, 0)::BIGINT AS n_removed,
+    md5(CASE WHEN hits = 0 THEN d.text ELSE rest END) AS kept_md5
 FROM documents o LEFT JOIN d ON o.doc_id = d.doc_id AND o.text = d.text"""
 
 
 @R.query("op10_line_spread", LINE_SQL)
 def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = parquet(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    kept = line_spread.drop_spread_lines(docs, min_sites=MIN_SITES, min_chars=MIN_CHARS, max_share=MAX_SHARE)
+    kept = line_spread.drop_spread_lines(docs, min_sites=MIN_SITES)
     return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 

@@ -53,6 +53,89 @@ def test_shards_are_even_and_gapless(documents, n):
         hilbert.hilbert_shards(docs.withColumn("Shard", F.lit(1)), ["lang"], 2, "doc_id")
 
 
+def test_op1_equals_brute_force(spark):
+    """The registered query over its table: cells, curve, order and runs, worked out row by row."""
+    import zlib
+
+    folder, bits = "/root/testdata/sf0.001", 5
+    docs = [r.asDict() for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    for r in docs:
+        r["size"] = len((r["text"] or "").encode()) + 8
+        r["crc"] = zlib.crc32((r["text"] or "").encode())
+
+    def string_cells(name):
+        counts, seen, cuts = Counter(r[name] for r in docs if r[name] is not None), 0, []
+        total = sum(counts.values())
+        for value in sorted(counts):
+            before, seen = seen, seen + counts[value]
+            if seen < total:
+                cuts += [value] * (seen * 2**bits // total - before * 2**bits // total)
+        return [0 if r[name] is None else sum(c < r[name] for c in cuts) for r in docs]
+
+    sizes = sorted(r["size"] for r in docs)
+    cuts = [sizes[max(0, -(-i * len(sizes) // 2**bits) - 1)] for i in range(1, 2**bits)]
+    by_size = [sum(c < r["size"] for c in cuts) for r in docs]
+    index = hilbert.hilbert_index(np.array([string_cells("lang"), string_cells("source"), by_size]).T, bits)
+    order = sorted(range(len(docs)), key=lambda i: (index[i], docs[i]["crc"], docs[i]["doc_id"]))
+    small, more = divmod(len(docs), 24)
+    want, at = {}, 0
+    for shard in range(24):
+        for slot in range(small + (shard < more)):
+            r = docs[order[at]]
+            want[r["doc_id"]] = (r["size"], r["crc"], "rows", shard, slot, None, int(index[order[at]]))
+            at += 1
+    found = {r[0]: tuple(r)[1:] for r in queries.R.queries["op1_hilbert_shards"](spark, folder).collect()}
+    assert found == want
+
+
+def test_shards_prune_in_every_dimension(spark, tmp_path):
+    """Files written along the curve have narrow ranges, also of strings that begin alike; in key order they have none."""
+    rows = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("https://www.site-"), F.lpad((F.col("id") * 7919 % 400).cast("string"), 3, "0")).alias("url"),
+        F.element_at(F.array(*map(F.lit, "abcdefgh")), (F.col("id") * 31 % 8 + 1).cast("int")).alias("lang"),
+        (F.col("id") * 104729 % 100003).alias("size"),
+    )
+    dims = ["url", "lang", "size"]
+    sharded = hilbert.hilbert_shards(rows, dims, 64, "doc_id")
+    hilbert.write_shards(sharded, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert back.count() == 6000 and len(list((tmp_path / "shards").glob("shard=*"))) == 64
+    share = {}
+    for dim in dims:
+        ranges = back.groupBy("shard").agg(F.min(dim).alias("low"), F.max(dim).alias("high")).collect()
+        asked = [r[0] for r in rows.select(dim).distinct().orderBy(F.xxhash64(dim)).limit(50).collect()]
+        share[dim] = np.mean([[r.low <= v <= r.high for r in ranges] for v in asked])
+    assert all(s < 0.5 for s in share.values()), share
+    assert share["url"] * share["lang"] * share["size"] < 0.06, share
+    # Along one value after the other the slots of a shard are the curve.
+    along = [r.hilbert for r in back.filter("shard = 5").orderBy("slot").collect()]
+    assert along == sorted(along)
+
+
+def test_string_cuts_are_whole_strings(spark):
+    frame = spark.createDataFrame([(f"https://x/{i:02d}",) for i in range(64)] + [(None,)] * 9 + [("https://x/99",)] * 64, "u string")
+    cuts = hilbert.string_cuts(frame, "u", 3)
+    assert cuts == [f"https://x/{i}" for i in (15, 31, 47, 63)] and hilbert.string_cuts(frame.filter("u IS NULL"), "u", 3) == []
+    even = spark.createDataFrame([(f"https://x/{i:02d}",) for i in range(64)], "u string")
+    assert hilbert.string_cuts(even, "u", 2) == ["https://x/15", "https://x/31", "https://x/47"]
+    few = spark.createDataFrame([(c,) for c in "abab"], "u string")
+    assert hilbert.string_cuts(few, "u", 3) == ["a"] * 4
+
+
+def test_the_fit_is_bounded(spark, documents, monkeypatch):
+    """Rows of one key are one row of the sample, and passages are bounded, too."""
+    reached = []
+    real = quality_model.train
+    monkeypatch.setattr(quality_model, "train", lambda b, f, t: reached.append((len(t), len(f))) or real(b, f, t))
+    docs = documents([(i % 5, f"text {i} " * (i + 1)) for i in range(300)] + [(900, "word " * 5000), (None, "x")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5)] + [(900, 1)], "doc_id long, quality int")
+    quality_model.fit(docs, labels, max_training=2)
+    quality_model.fit(docs, labels)
+    quality_model.fit(docs, labels, max_passages=40)
+    assert reached[0][0] == 2 and reached[1][0] <= 6 and reached[2][1] <= 40
+    assert reached[1][1] - reached[2][1] >= 0
+
+
 def brute_removed(texts, length):
     strings = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
@@ -128,6 +211,26 @@ def test_cap_filters_recall_and_edges(spark):
     assert cap_filters.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_cap_filters_tell_rows_of_one_key_apart(spark):
+    """Repeated and NULL keys: links and components follow the vectors, not the keys."""
+    def unit(*parts):
+        v = np.zeros(64)
+        for place, value in parts:
+            v[place] = value
+        return [float(f) for f in v / np.linalg.norm(v)]
+
+    a, b, c = unit((0, 1)), unit((1, 1)), unit((2, 1))
+    near = [unit((k, 1), (9, 0.1)) for k in range(3)]
+    rows = [(1, a), (1, b), (2, near[0]), (3, near[1]), (None, c), (4, near[2]), (5, a), (None, unit((20, 1)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(map(str, map(tuple, cap_filters.near_vectors(frame).collect())))
+    want = [
+        (1, 2, 1, True), (1, 1, 1, True), (2, 2, 1, False), (3, 1, 1, False), (None, 1, 4, False), (4, 1, 4, True),
+        (5, 2, 1, False), (None, 0, None, False),
+    ]
+    assert got == sorted(map(str, want))
+
+
 def brute_near(texts):
     sets = []
     for t in texts:
@@ -261,25 +364,28 @@ def test_line_spread(documents):
     docs = documents(texts, [f"s{i % 10}" for i in range(len(texts))]).withColumn("_rid", F.lit(1))
     rows = {r.doc_id: r for r in line_spread.drop_spread_lines(docs).collect()}
     assert all(banner not in rows[i].text and rows[i].n_removed == 1 for i in range(12))
-    assert rows[12].text == banner and rows[13].text is None and rows[14].text == "" and rows[15].n_removed == 0
+    assert rows[12].text == "" and rows[13].text is None and rows[14].text == "" and rows[15].n_removed == 2
+    assert rows[16].text == "short\nshort" and (rows[14].n_lines, rows[14].n_removed, rows[13].n_lines) == (1, 0, 0)
     few = line_spread.drop_spread_lines(docs, min_sites=11).collect()
     assert {r.n_removed for r in few} == {0}
     assert line_spread.drop_spread_lines(documents([])).count() == 0
 
 
 def test_line_spread_cleans_boilerplate_pages(documents):
-    """Without a share, only a text that itself stands on many sites is left whole."""
-    banner, rights = "subscribe to our letter, it is free", "all rights are reserved by us"
+    """Only a text that itself stands on many sites is left whole, and only where that is asked for; short lines go, too."""
+    banner, rights = "subscribe to our letter, it is free", "top"
     texts = [f"{banner}\n{rights}\nown {i} text" for i in range(12)]
     texts += [f"{banner}\n{rights}"] * 3 + ["one story that is told\nand told again everywhere"] * 11
     texts += [None, "", f"and told again everywhere\n{banner}"]
     docs = documents(texts, [f"s{i % 12}" for i in range(len(texts))])
-    rows = {r.doc_id: r for r in line_spread.drop_spread_lines(docs, max_share=None).collect()}
+    rows = {r.doc_id: r for r in line_spread.drop_spread_lines(docs, keep_copies=True).collect()}
     assert len(rows) == len(texts)
     assert all(rows[i].text == f"own {i} text" and rows[i].n_removed == 2 for i in range(12))
     assert all(rows[i].text == "" and rows[i].n_removed == 2 for i in range(12, 15))
     assert all(rows[i].text == texts[i] and rows[i].n_removed == 0 for i in range(15, 28))
     assert rows[28].text == "" and rows[28].n_removed == 2
+    bare = {r.doc_id: r.text for r in line_spread.drop_spread_lines(docs).collect()}
+    assert all(bare[i] == "" for i in range(15, 26)) and bare[0] == "own 0 text"
     # The stage of the pipeline works by this rule.
     staged = corpus_pipeline.lines(None, docs, "").collect()
     assert {r.doc_id: (r.text, r.n_chars) for r in staged} == {k: (r.text, len(r.text or "")) for k, r in rows.items()}
