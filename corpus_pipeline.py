@@ -27,9 +27,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Only documents whose whole text stands on that many sites stay as they are, for the next stage.
     """
-    kept = line_spread.drop_spread_lines(
-        docs, min_sites=queries.MIN_SITES, min_chars=queries.MIN_CHARS, max_share=None
-    )
+    kept = line_spread.drop_spread_lines(docs, min_sites=queries.MIN_SITES, keep_copies=True)
     chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", chars).select(docs.columns)
 
