@@ -13,7 +13,8 @@ from siltbed.registry.base import Registry
 from siltbed.registry.oracle_events import on_events
 from siltbed.session import work_dir
 from siltbed.sources.inbox import decode_inbox, inbox_stream
-from siltbed.sources.recast import inbox
+from siltbed.sources.recast import TWICE, inbox, raw_changes
+from siltbed.streaming import ledger_stream as ls
 from siltbed.streaming import refine_stream as rs
 
 R = Registry()
@@ -101,6 +102,45 @@ def _(spark, d):
     return lost.groupBy("event_id").agg(F.count("*").alias("copies"))
 
 
+_LATENESS = 3 * 86400
+
+
+# Five deliveries; the second copy of an event comes one delivery after the first.
+@R.query(
+    "late_ledger_batches",
+    on_events(
+        f""", b AS (SELECT *, e % 4 + copy AS batch FROM delivered WHERE passed),
+seen AS (SELECT batch, max(secs) AS newest FROM b GROUP BY 1),
+floors AS (SELECT d.batch, (SELECT max(newest) FROM seen s WHERE s.batch < d.batch) - {_LATENESS} AS floor FROM seen d),
+timed AS (SELECT b.*, coalesce(secs < floor, false) AS late FROM b JOIN floors USING (batch)),
+firsts AS (SELECT *, bool_or(NOT late) OVER (PARTITION BY e) AS kept,
+    row_number() OVER (PARTITION BY e ORDER BY batch) AS turn FROM timed)
+SELECT 'clean' AS sink, event_id, secs AS epoch, count(*) AS copies FROM firsts WHERE kept AND turn = 1 GROUP BY ALL
+UNION ALL SELECT 'late', event_id, secs, count(*) FROM firsts WHERE NOT kept GROUP BY ALL
+UNION ALL SELECT 'quarantine', NULL, NULL, count(*) FROM delivered WHERE NOT passed"""
+    ),
+)
+def _(spark, d):
+    """Late rows, late copies of clean rows and copies across batches, then the last delivery once more."""
+    landed, root = work_dir(spark, "deliveries"), work_dir(spark, "ledger")
+    rows = raw_changes(spark, d).withColumn("copy", F.explode(F.expr(f"CASE WHEN {TWICE} THEN sequence(0, 1) ELSE array(0) END")))
+    rows = rows.select(
+        "event_json", "event_key", (F.col("us") + F.col("copy") * 1000000).alias("produced_at"),
+        (F.col("e") % 4 + F.col("copy")).alias("_delivery"),
+    )
+    for delivery in range(5):
+        rows.filter(F.col("_delivery") == delivery).drop("_delivery").write.mode("append").parquet(landed)
+        ls.ledger_stream(spark, landed, root, f"{root}-checkpoint", _LATENESS)
+    if ls.refine_batch(inbox(spark, d), 4, root, _LATENESS):
+        raise AssertionError("A batch was applied twice")
+    parts = []
+    for sink in (ls.CLEAN, ls.LATE):
+        found = ls.read_sink(spark, root, sink).groupBy("event_id", F.unix_seconds("event_time").alias("epoch"))
+        parts.append(found.agg(F.count("*").alias("copies")).withColumn("sink", F.lit(sink)))
+    rejected = ls.read_sink(spark, root, ls.REJECTED).agg(F.count("*").alias("copies"), F.lit("quarantine").alias("sink"))
+    return parts[0].unionByName(parts[1]).unionByName(rejected, allowMissingColumns=True)
+
+
 # A window is final once the watermark (ten minutes behind the newest event) has passed its end.
 @R.query(
     "hourly_windows_stream",

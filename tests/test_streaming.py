@@ -130,3 +130,34 @@ def test_continuous_sink(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_late_rows_reach_the_ledger_and_a_failed_batch_is_repeated(spark, tmp_path, monkeypatch):
+    """Watermark of earlier batches only, copies in time and too late, and a run that fails before its commit."""
+    from siltbed.plans import store
+    from siltbed.streaming import ledger_stream as ls
+
+    def batch(*events):
+        rows = [
+            (json.dumps({"id": i, "type": "edit", "namespace": 0, "title": f"T{i}", "user": "u", "bot": False, "wiki": "enwiki",
+                         "timestamp": t, "meta": {"id": f"m{i}", "domain": "d", "dt": None}}), f"m{i}", t * 1_000_000)
+            for i, t in events
+        ]
+        return spark.createDataFrame(rows, "event_json STRING, event_key STRING, produced_at BIGINT")
+
+    root = str(tmp_path / "sinks")
+    ids = lambda sink: sorted(r.event_id for r in ls.read_sink(spark, root, sink).collect())
+    t = 1_700_000_000
+    assert ls.refine_batch(batch((1, t), (2, t - 5000), (1, t)), 0, root, 600)
+    assert ids(ls.CLEAN) == [1, 2] and ids(ls.LATE) == []  # nothing is late in the batch that moves the watermark
+    second = batch((3, t - 700), (2, t - 5000), (4, t - 100), (1, t), (3, t - 700))
+    real = store.commit
+    monkeypatch.setattr(store, "commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        ls.refine_batch(second, 1, root, 600)
+    assert ids(ls.CLEAN) == [1, 2]  # files without a commit are not seen
+    monkeypatch.setattr(store, "commit", real)
+    assert ls.refine_batch(second, 1, root, 600) and not ls.refine_batch(second, 1, root, 600)
+    # 2 is a late copy of a clean row, so nothing is lost; 3 is lost twice.
+    assert ids(ls.CLEAN) == [1, 2, 4] and ids(ls.LATE) == [3, 3]
+    assert ls.refine_batch(batch(), 2, root, 600) and ids(ls.CLEAN) == [1, 2, 4]
