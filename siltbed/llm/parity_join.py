@@ -41,6 +41,7 @@ PARTS, MARKS, LOUD = 0, 1, 2  # kinds of rows between the stages
 MANY = 1 << 20  # counts as crowded in every part
 BITS = 1024  # of a set's sketch in the second stage
 GROUP_ROWS = 1500  # sets of a crowded part that are held against each other at a time
+FIRST_PARTS = 8  # of a set's crowded parts that travel with it
 BLOCK_BYTES = 2_000_000
 BUCKET_BYTES = 6_000_000
 
@@ -303,11 +304,28 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _earlier(held: list[tuple]) -> list[int]:
+    """For each row a number whose bits are those of its first parts that come before the group's."""
+    here, place, out = held[0][0], {}, []
+    for row in held:
+        bits = 0
+        for part in row[8]:
+            if part < here:
+                bits |= 1 << place.setdefault(part, len(place))
+        out.append(bits)
+    return out
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components whose sketches differ in no more bits than near sets may."""
+    """Pairs across components whose sketches differ in no more bits than near sets may.
+
+    Sets of one group share very many parts. A pair is not told again where the first parts of both sets name an
+    earlier part in which they meet, so most pairs are told once and none is lost.
+    """
     held: list[tuple] = []
 
     def pairs() -> pa.RecordBatch:
+        earlier = _earlier(held)
         side = np.array([r[3] for r in held])
         name, component, size = (np.array([r[k] for r in held], np.int64) for k in (4, 5, 7))
         bits = np.frombuffer(b"".join(r[6] for r in held), np.uint64).reshape(len(held), -1)
@@ -320,12 +338,16 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 apart += np.bitwise_count(bits[some, word][:, None] ^ bits[two, word])
             ok = (apart <= (size[some][:, None] + size[two]) // 7) & (component[some][:, None] != component[two])
             x, y = np.nonzero(ok)
-            found.append((name[some[x]], name[two[y]]))
+            x, y = some[x], two[y]
+            fresh = [not earlier[i] & earlier[j] for i, j in zip(x.tolist(), y.tolist(), strict=True)]
+            fresh = np.array(fresh, bool)
+            found.append((name[x[fresh]], name[y[fresh]]))
         x, y = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (name[:0], name[:0])
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("part", "i", "j", "side", "name", "component", "bits", "size")]
+        names = ("part", "i", "j", "side", "name", "component", "bits", "size", "parts")
+        columns = [batch.column(c).to_pylist() for c in names]
         for row in zip(*columns, strict=True):
             if held and row[:3] != held[0][:3]:
                 yield pairs()
@@ -366,9 +388,11 @@ def _crowd_links(texts: DataFrame, unsafe: DataFrame, found: DataFrame) -> DataF
         F.ceil((F.col("n") - F.col("top.n")) / GROUP_ROWS).alias("p"), F.ceil(F.col("n") / GROUP_ROWS).alias("q"),
     )
     bits = own.mapInArrow(_bitmaps, "name long, bits binary, size long")
-    open_ = work_table(placed.join(main, "part").join(bits, "name"), "parity-open")
+    open_ = work_table(placed.join(main, "part"), "parity-open-parts")
+    lists = open_.groupBy("name").agg(F.slice(F.array_sort(F.collect_list("part")), 1, FIRST_PARTS).alias("parts"))
+    open_ = work_table(open_.join(bits.join(lists, "name"), "name"), "parity-open")
     # Blocks of the sets outside the largest component meet blocks of all sets of the part.
-    columns = ["part", "i", "j", "side", "name", "component", "bits", "size"]
+    columns = ["part", "i", "j", "side", "name", "component", "bits", "size", "parts"]
     place = F.xxhash64("name")
     one = open_.filter("component <> main").withColumn("i", F.pmod(place, "p")).withColumn(
         "j", F.explode(F.sequence(F.lit(0), F.col("q") - 1))).withColumn("side", F.lit(0))
