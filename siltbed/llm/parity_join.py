@@ -267,7 +267,10 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All parts of the given sets as rows, with the band and number of parts in which a near set may differ."""
+    """All parts of the given sets as rows, with the band and number of parts in which a near set may differ.
+
+    ``total`` is how many parts the set has in that band.
+    """
     import zstandard
 
     open_ = zstandard.ZstdDecompressor().decompress
@@ -279,8 +282,11 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owner, hashes = shingle_sets(data, offsets, roll, SHINGLE)
             own, parts, differ, _ = sketch_parts(owner, hashes, part.num_rows, whole=True)
             names = part.column("name").to_numpy()
+            bands, place = np.unique(np.stack([own, differ]), axis=1, return_inverse=True)
+            total = np.bincount(place.ravel(), minlength=bands.shape[1])[place.ravel()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(parts.view(np.int64)), pa.array(names[own]), pa.array(differ)], ["part", "name", "differ"]
+                [pa.array(parts.view(np.int64)), pa.array(names[own]), pa.array(differ), pa.array(total.astype(np.int64))],
+                ["part", "name", "differ", "total"],
             )
 
 
@@ -368,10 +374,14 @@ def _crowd_links(texts: DataFrame, unsafe: DataFrame, found: DataFrame) -> DataF
     whose sketches are near enough.
     """
     own = texts.join(unsafe, "name", "left_semi").select("name", "t")
-    spelled = work_table(own.mapInArrow(_spell, "part long, name long, differ long"), "parity-parts")
-    counted = spelled.join(spelled.groupBy("part").agg(F.count("*").alias("n")), "part")
-    rarest = Window.partitionBy("name", "differ").orderBy("n", "part")
-    kept = counted.withColumn("r", F.row_number().over(rarest)).filter("r <= differ div 2 + 1 AND n > 1")
+    spelled = work_table(own.mapInArrow(_spell, "part long, name long, differ long, total long"), "parity-parts")
+    # A set's parts that no other has are its rarest; they are only counted, and do not move again.
+    met = spelled.groupBy("part").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = spelled.join(work_table(met, "parity-shared"), "part")
+    band = Window.partitionBy("name", "differ")
+    alone = F.col("total") - F.count("*").over(band)
+    ranked = shared.withColumn("r", F.row_number().over(band.orderBy("n", "part")) + alone)
+    kept = ranked.filter("r <= differ div 2 + 1")
     kept = work_table(kept.select("part", "name"), "parity-rare")
     stars = kept.join(kept.groupBy("part").agg(F.min("name").alias("a")), "part").filter("name > a")
     stars = work_table(stars.select("a", F.col("name").alias("b")).distinct(), "parity-stars")
