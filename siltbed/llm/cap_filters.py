@@ -107,18 +107,18 @@ def _list_filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def _met_before(filters: list[np.ndarray], here: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Whether two vectors share a filter below ``here``, for each of ``one`` with each of ``two``."""
-    lower = [f[f < here] for f in filters]
-    owner = np.repeat(np.arange(len(lower)), [len(f) for f in lower])
-    names, place = np.unique(np.concatenate(lower), return_inverse=True)
-    met = np.zeros((len(one), len(two)), bool)
-    for at in range(0, len(names), 2048):
-        pick = (place >= at) & (place < at + 2048)
-        has = np.zeros((len(lower), min(2048, len(names) - at)), np.float32)
-        has[owner[pick], place[pick] - at] = 1
-        met |= has[one] @ has[two].T > 0
-    return met
+def _first_meeting(filters: list[np.ndarray], here: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether the vectors of each pair share no filter below ``here``. Only near pairs are asked for, and they are few."""
+    place: dict[int, int] = {}
+    bits: dict[int, int] = {}
+    for row in np.unique(np.concatenate([one, two])).tolist():
+        own = 0
+        for code in filters[row].tolist():
+            if code >= here:  # filters are in ascending order
+                break
+            own |= 1 << place.setdefault(code, len(place))
+        bits[row] = own
+    return np.array([not bits[i] & bits[j] for i, j in zip(one.tolist(), two.tolist(), strict=True)], bool)
 
 
 def _linked(group: dict, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
@@ -133,12 +133,12 @@ def _linked(group: dict, similarity: float) -> tuple[np.ndarray, np.ndarray, np.
         p, q = np.unravel_index(edge, near.shape)
         near.flat[edge] = [float(np.sum(x[a] * x[b])) >= similarity for a, b in zip(one[p], two[q], strict=True)]
     i, j = np.nonzero(near)
-    counted = ~_met_before(group["filters"], group["filter"], one, two)[i, j]
     i, j = one[i], two[j]
     keep = i < j if (halves == 2).all() else i != j
-    i, j, first = i[keep], j[keep], counted[keep]
+    i, j = i[keep], j[keep]
     if not len(i):
         return None
+    first = _first_meeting(group["filters"], group["filter"], i, j)
     ids, weights = np.array(group["id"]), np.array(group["weight"])
     counts = np.bincount(i[first], weights=weights[j[first]], minlength=len(ids))
     counts += np.bincount(j[first], weights=weights[i[first]], minlength=len(ids))
@@ -202,9 +202,11 @@ def near_vectors(
     equal = rows.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(
         F.min("id").alias("id"), F.count("*").alias("weight"), F.first("v").alias("v")
     )
-    named = equal.filter("id IS NOT NULL").select("id", "weight", "v")
-    schema = T.StructType([*named.schema.fields, T.StructField("filters", T.ArrayType(T.LongType()))])
-    listed = work_table(named.mapInArrow(_list_filters, schema), "caps")
+    # Classes get names that no two of them share, whatever their keys; written, so that the names stay.
+    named = work_table(equal.withColumn("name", F.monotonically_increasing_id()), "cap-classes")
+    known = named.select(F.col("name").alias("id"), "weight", "v")
+    schema = T.StructType([*known.schema.fields, T.StructField("filters", T.ArrayType(T.LongType()))])
+    listed = work_table(known.mapInArrow(_list_filters, schema), "caps")
     parts = F.ceil(F.col("n") / GROUP_ROWS).cast("int")
     crowded = work_table(
         listed.select(F.explode("filters").alias("filter")).groupBy("filter").agg(F.count("*").alias("n"))
@@ -223,14 +225,16 @@ def near_vectors(
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     reached = components(found.select(F.col("id").alias("a"), F.col("label").alias("b")))
     classes = (
-        equal.select("k1", "k2", "id", "weight")
-        .join(links, "id", "left").join(reached, F.col("id") == F.col("node"), "left")
-        .select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-                F.coalesce("component", "id").alias("component_id"))
+        named.select("k1", "k2", "name", F.col("id").alias("least"), "weight")
+        .join(links.withColumnRenamed("id", "name"), "name", "left").join(reached, F.col("name") == F.col("node"), "left")
+        .select("k1", "k2", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+                F.coalesce("component", "name").alias("component"))
     )
     classes = work_table(classes, "vector-classes")
+    shown = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = classes.join(shown, "component").select("k1", "k2", "n_links", "component_id", F.lit(True).alias("usable"))
     member = rows.select("id", "k1", "k2").join(classes, ["k1", "k2"], "left")
-    component = F.coalesce("component_id", "id")
+    component = F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("id"))
     return member.select(
         F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"),
