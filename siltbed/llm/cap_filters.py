@@ -18,12 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import work_table
+from siltbed.llm.common import matrix, work_table
 from siltbed.llm.components import components
 
 BLOCKS, WORDS = 4, 32
 THRESHOLD, LEAST = 0.55, 20
 GROUP_ROWS = 1500
+SMALL, PAIRS = 64, 50_000  # rows of a small group; pairs compared at a time
 
 
 def rotate(x: np.ndarray, seed: int = 5) -> np.ndarray:
@@ -139,7 +140,13 @@ def _linked(group: dict, similarity: float) -> tuple[np.ndarray, np.ndarray, np.
     if not len(i):
         return None
     first = _first_meeting(group["filters"], group["filter"], i, j)
-    ids, weights = np.array(group["id"]), np.array(group["weight"])
+    return _tally(np.array(group["id"]), np.array(group["weight"]), i, j, first)
+
+
+def _tally(
+    ids: np.ndarray, weights: np.ndarray, i: np.ndarray, j: np.ndarray, first: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, link counts and labels of the rows in linked pairs; only ``first`` meetings are counted."""
     counts = np.bincount(i[first], weights=weights[j[first]], minlength=len(ids))
     counts += np.bincount(j[first], weights=weights[i[first]], minlength=len(ids))
     labels = ids.copy()
@@ -154,31 +161,76 @@ def _linked(group: dict, similarity: float) -> tuple[np.ndarray, np.ndarray, np.
     return ids[touched], counts[touched].astype(np.int64), labels[touched]
 
 
+def _linked_small(
+    rows: pa.Table, sizes: np.ndarray, width: int, similarity: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """The same for many small groups at once, one after the other in ``rows``: all pairs within each of them."""
+    x = _unit(matrix(rows.column("v"), width))
+    start = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    place = np.arange(len(start)) - start
+    i = np.repeat(np.arange(len(start)), place)
+    j = start[i] + np.arange(len(i)) - np.repeat(np.cumsum(place) - place, place)
+    near = np.zeros(len(i), bool)
+    for at in range(0, len(i), PAIRS):
+        some = slice(at, at + PAIRS)
+        near[some] = (x[i[some]] * x[j[some]]).sum(axis=1) >= similarity
+    i, j = i[near], j[near]
+    if not len(i):
+        return None
+    touched = np.unique(np.concatenate([i, j]))
+    lists = rows.column("filters").take(pa.array(touched)).to_pylist()
+    own = dict(zip(touched.tolist(), map(set, lists), strict=True))
+    here = rows.column("filter").to_numpy()
+    first = [min(own[a] & own[b]) == here[a] for a, b in zip(i.tolist(), j.tolist(), strict=True)]
+    ids, weights = (rows.column(c).to_numpy() for c in ("id", "weight"))
+    return _tally(ids, weights, i, j, np.array(first, bool))
+
+
+def _starts(table: pa.Table) -> np.ndarray:
+    """Where the rows of a filter and pair of parts begin."""
+    keys = [table.column(c).to_numpy() for c in ("filter", "one", "two")]
+    new = np.ones(table.num_rows, bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(new)
+
+
 def _groups(similarity: float):
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict | None = None
+    def told(found: tuple | None) -> Iterator[pa.RecordBatch]:
+        if found is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["id", "links", "label"])
 
-        def done(group: dict) -> Iterator[pa.RecordBatch]:
-            found = _linked(group, similarity) if len(group["id"]) > 1 else None
-            if found is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["id", "links", "label"])
+    def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not table.num_rows:
+            return
+        table = table.combine_chunks()
+        starts = _starts(table)
+        sizes = np.diff(np.append(starts, table.num_rows))
+        whole = np.logical_and.reduceat(table.column("side").to_numpy() == 2, starts)
+        small = whole & (sizes <= SMALL)
+        widths = table.column("filter").to_numpy()[starts] >> 32
+        for width in np.unique(widths[small & (sizes > 1)]).tolist():
+            own = small & (sizes > 1) & (widths == width)
+            rows = table.take(pa.array(np.flatnonzero(np.repeat(own, sizes))))
+            yield from told(_linked_small(rows, sizes[own], width, similarity))
+        for at in np.flatnonzero(~small & (sizes > 1)).tolist():
+            part = table.slice(int(starts[at]), int(sizes[at])).combine_chunks()
+            group = {n: part.column(n).to_pylist() for n in ("id", "weight", "side")}
+            group["v"] = _rows_of(part.column("v").combine_chunks())
+            group["filters"] = [np.asarray(f.values) for f in part.column("filters")]
+            yield from told(_linked({**group, "filter": part.column("filter")[0].as_py()}, similarity))
 
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = None
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("filter", "one", "two")], axis=1)
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True):
-                key = tuple(keys[a])
-                if held is None or held["key"] != key:
-                    if held is not None:
-                        yield from done(held)
-                    held = {"key": key, "filter": key[0], "id": [], "weight": [], "side": [], "v": [], "filters": []}
-                part = batch.slice(a, b - a)
-                held["v"] += _rows_of(part.column("v"))
-                held["filters"] += [np.asarray(f.values) for f in part.column("filters")]
-                for name in ("id", "weight", "side"):
-                    held[name] += part.column(name).to_pylist()
-        if held is not None:
-            yield from done(held)
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if tail is None else pa.concat_tables([tail, table])
+            last = int(_starts(table)[-1])  # this group may go on in the next batch
+            yield from done(table.slice(0, last))
+            tail = table.slice(last)
+        if tail is not None:
+            yield from done(tail)
 
     return compare
 
