@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.functions.masking import mask_ip, mask_user, register_masks
+from siltbed.functions.plans import stored
 from siltbed.operators import alerts, checks, dimensions, facts, parse, policies, quality
 from siltbed.operators.dedup import KEY, dedup_batch, duplicate_payloads, event_key, key_kinds
 from siltbed.plans import analytics as an
@@ -738,9 +739,10 @@ def _broken_star(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Dat
     kept = all_projects.filter("coalesce(_n % 6 <> 2, true)")
     doubled = kept.unionByName(all_projects.filter("_n % 8 = 1")).drop("_n")
     dates = calendar(spark, d).filter("date_key % 5 <> 0")
-    facts_ = fact(spark, d)
-    more = facts_.unionByName(facts_.filter("event_id % 40 = 3"))
-    return silver(spark, d), more, doubled, dates
+    clean = stored(silver(spark, d), "clean-events")
+    facts_ = facts.fact_edits(clean, projects(spark, d), now=fixed_now())
+    more = stored(facts_.unionByName(facts_.filter("event_id % 40 = 3")), "facts")
+    return clean, more, doubled, dates
 
 
 _BROKEN = """,
@@ -828,9 +830,10 @@ UNION ALL SELECT 'rejected_payloads_missing', count(*) FROM flagged WHERE NOT pa
     ),
 )
 def _(spark, d):
-    rows = flagged(spark, d)
-    clean = silver(spark, d).filter("event_id % 30 <> 4")
-    clean = clean.unionByName(clean.filter("event_id % 45 = 2"))
+    # As the job does it: the inbox is parsed once, and the check reads files.
+    rows = stored(flagged(spark, d), "flagged-events")
+    clean = clean_events(rows).filter("event_id % 30 <> 4")
+    clean = stored(clean.unionByName(clean.filter("event_id % 45 = 2")), "clean-events")
     kept = quarantined_events(rows).filter("coalesce(event_id % 7 <> 0, true)")
     return checks.coverage_check(rows, clean, kept, KEY)
 
