@@ -2,7 +2,8 @@
 
 Every chunk belongs to the pivot nearest to it and stands at a known angle from it. Chunks of one corpus,
 pivot and slice of angles form blocks of bounded size, stored as one row each. The angle between a
-question and the pivot then bounds the cosine of everything in the block.
+question and the pivot then bounds the cosine of everything in the block. Bounds are taken inside the tasks, where a group
+of questions meets the blocks of a slice: blocks whose bound is below what a question holds already are not scored.
 """
 
 from __future__ import annotations
@@ -16,10 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltbed.functions.plans import stored
-from siltbed.operators.ranking import CORPUS, DECIMALS, ROUNDING, best_first, ranks_from_places, wanted_lists
+from siltbed.operators.ranking import (
+    CORPUS, DECIMALS, ROUNDING, Leaders, Places, dealt, each_task, ranks_from_places, top_k, wanted_lists,
+)
 
 PIVOTS, SAMPLE = 16, 4096  # pivots, and the chunks they are chosen from
-BLOCK, QUESTIONS = 1024, 256  # chunks of a block, and questions that meet it at a time
+BLOCK, QUESTIONS = 1024, 8192  # chunks of a block, and questions that a task holds
+GROUP_BYTES = 16_000_000  # of their vectors, where these are wide
+TILE, ROWS = 1024, 2048  # chunks and questions scored at a time
 SLICE = np.pi / 64
 SLACK = 2e-7  # radians: more than rounding a cosine near one can cost an angle
 NOWHERE = -1  # the cell of vectors without a direction, or of another width than the pivots
@@ -137,49 +142,58 @@ def _asked(questions: DataFrame, index: VectorIndex) -> DataFrame:
     return stored(_with_angles(asked, index.pivots).withColumn("dim", F.size("embedding")), "question-vectors")
 
 
-def _bounds(asked: DataFrame, index: VectorIndex) -> DataFrame:
-    """No cosine in the block exceeds ``bound``."""
-    meta = index.blocks.select(*CORPUS, "dim", "block", "cell", "low", "high")
-    met = asked.select("question_id", *CORPUS, "dim", "angles").join(meta, [*CORPUS, "dim"])
-    own = F.try_element_at("angles", F.when(F.col("cell") >= 0, F.col("cell") + 1))
-    apart = F.greatest(own - F.col("high"), F.col("low") - own, F.lit(SLACK)) - SLACK
-    bound = F.when(own.isNull(), F.lit(1.0)).otherwise(F.cos(apart))
-    return met.select("question_id", "block", bound.alias("bound"))
+class _Scorer:
+    """A group of questions; ``add`` scores blocks of chunks for those that they may matter to."""
+
+    def __init__(self, asking: pa.Table, kept: Callable) -> None:
+        column = {c: asking.column(c).combine_chunks() for c in asking.column_names}
+        column = {c: v.chunk(0) if isinstance(v, pa.ChunkedArray) else v for c, v in column.items()}
+        self.names, self.width = column["question_id"], column["width"][0].as_py()
+        self.units = _matrix(column["embedding"], self.width)
+        angles = column["angles"]
+        some = np.flatnonzero(~np.asarray(angles.is_null()))
+        flat = angles.flatten().to_numpy(zero_copy_only=False)
+        self.angles = np.full((len(angles), max(1, len(flat) // max(1, len(some)))), np.nan)
+        if len(some):
+            self.angles[some] = flat.reshape(len(some), -1)
+        self.kept = kept(column)
+
+    def add(self, blocks: pa.RecordBatch) -> None:
+        ends = np.cumsum(np.asarray(blocks.column("ids").value_lengths()))
+        at = 0
+        while at < blocks.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TILE, side="right")))
+            self._tile(blocks.slice(at, stop - at))
+            at = stop
+
+    def _tile(self, blocks: pa.RecordBatch) -> None:
+        cell, low, high = (blocks.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "low", "high"))
+        own = np.where(cell >= 0, self.angles[:, np.maximum(cell, 0) % self.angles.shape[1]], np.nan)
+        apart = np.maximum(np.maximum(own - high, low - own), SLACK) - SLACK
+        # No cosine in the block exceeds the bound.
+        bound = np.where(np.isnan(own), 1.0, np.cos(apart))
+        rows = np.flatnonzero((bound + ROUNDING >= self.kept.floors[:, None]).any(axis=1))
+        if len(rows):
+            ids, x = blocks.column("ids").flatten(), _matrix(blocks.column("vectors").flatten(), self.width)
+            for i in range(0, len(rows), ROWS):
+                some = rows[i : i + ROWS]
+                self.kept.add(some, np.round(self.units[some] @ x.T, DECIMALS) + 0.0, ids)
+
+    def result(self) -> pa.RecordBatch:
+        return self.kept.result(self.names)
 
 
-def _meet(asked: DataFrame, index: VectorIndex, pairs: DataFrame, *more: str) -> DataFrame:
-    """Rows of one block and some of the questions that want it."""
-    sizes = pairs.groupBy("block").agg(F.ceil(F.count("*") / QUESTIONS).cast("int").alias("_parts"))
-    part = F.pmod(F.xxhash64("question_id"), F.col("_parts")).alias("_part")
-    asking = pairs.join(sizes, "block").join(asked, "question_id").groupBy("block", part).agg(
-        F.collect_list(F.struct("question_id", "embedding", *more)).alias("questions")
-    )
-    return asking.join(index.blocks.select("block", "dim", "ids", "vectors"), "block").select("dim", "questions", "ids", "vectors")
+def _best(k: int) -> Callable:
+    return each_task(lambda asking: _Scorer(asking, lambda column: Leaders(len(column["width"]), k, float("-inf"))))
 
 
-def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.StructArray, pa.Array, np.ndarray]]:
-    """Questions, chunk ids and rounded cosines of every row; ids are in order."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            width = batch.column("dim")[i].as_py()
-            questions, ids = batch.column("questions")[i].values, batch.column("ids")[i].values
-            x = _matrix(batch.column("vectors")[i].values, width)
-            q = _matrix(questions.field("embedding"), width)
-            yield questions, ids, np.round(q @ x.T, DECIMALS) + 0.0
+def _places() -> Callable:
+    return each_task(lambda asking: _Scorer(asking, lambda column: Places(column["wanted"])))
 
 
-def _best(k: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for questions, ids, scores in _each(batches):
-            order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            owner = np.repeat(np.arange(len(scores)), order.shape[1])
-            yield pa.RecordBatch.from_arrays(
-                [questions.field("question_id").take(pa.array(owner)), ids.take(pa.array(order.ravel())),
-                 pa.array(np.take_along_axis(scores, order, axis=1).ravel())],
-                ["question_id", "chunk_id", "score"],
-            )
-
-    return run
+def _met(asked: DataFrame, index: VectorIndex) -> DataFrame:
+    group = F.greatest(F.least(F.lit(QUESTIONS), F.floor(F.lit(GROUP_BYTES) / (8 * F.col("dim")))), F.lit(1))
+    return dealt(asked.withColumn("width", F.col("dim")), index.blocks, [*CORPUS, "dim"], group, F.size("ids"), F.col("block"))
 
 
 def _kinds(questions: DataFrame, index: VectorIndex) -> tuple[str, str]:
@@ -188,35 +202,9 @@ def _kinds(questions: DataFrame, index: VectorIndex) -> tuple[str, str]:
 
 def vector_hits(questions: DataFrame, index: VectorIndex, k: int) -> DataFrame:
     """The ``k`` chunks of the question's corpus with the largest cosine."""
-    asked = _asked(questions, index)
-    bounds = stored(_bounds(asked, index), "vector-bounds")
     asking, holding = _kinds(questions, index)
-
-    def score(pairs: DataFrame) -> DataFrame:
-        met = _meet(asked.select("question_id", "embedding"), index, pairs)
-        return met.mapInArrow(_best(k), f"question_id {asking}, chunk_id {holding}, score double")
-
-    return best_first(bounds, score, k)
-
-
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many chunks of the block stand at each place among the question's wanted chunks."""
-    for questions, ids, scores in _each(batches):
-        names = ids.to_pylist()
-        found: list[tuple] = []
-        for i, wanted in enumerate(questions.field("wanted").to_pylist()):
-            down = -np.array([w["score"] for w in wanted])
-            low = np.searchsorted(down, -scores[i], side="left")
-            high = np.searchsorted(down, -scores[i], side="right")
-            for j in np.flatnonzero(high > low):  # equal scores: the lower id is ahead
-                low[j] += sum(w["chunk_id"] <= names[j] for w in wanted[low[j] : high[j]])
-            places, counts = np.unique(low, return_counts=True)
-            found += [(i, p, n) for p, n in zip(places.tolist(), counts.tolist(), strict=True) if p < len(wanted)]
-        owner, place, n = zip(*found, strict=True) if found else ((), (), ())
-        yield pa.RecordBatch.from_arrays(
-            [questions.field("question_id").take(pa.array(owner, pa.int64())), pa.array(place, pa.int32()), pa.array(n, pa.int64())],
-            ["question_id", "place", "n"],
-        )
+    met = _met(_asked(questions, index), index)
+    return top_k(met.mapInArrow(_best(k), f"question_id {asking}, chunk_id {holding}, score double"), k)
 
 
 def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,8 +234,5 @@ def vector_ranks(questions: DataFrame, index: VectorIndex, wanted: DataFrame) ->
         _cosines, f"question_id {asking}, chunk_id {holding}, score double"
     )
     lists = stored(wanted_lists(own), "vector-wanted")
-    near = _bounds(asked, index).join(lists.select("question_id", "lowest"), "question_id")
-    near = near.filter(F.col("bound") + ROUNDING >= F.col("lowest")).select("question_id", "block")
-    asking_for = asked.select("question_id", "embedding").join(lists.select("question_id", "wanted"), "question_id")
-    met = _meet(asking_for, index, near, "wanted")
-    return ranks_from_places(met.mapInArrow(_places, f"question_id {asking}, place int, n long"), lists)
+    met = _met(asked.join(lists.select("question_id", "wanted"), "question_id"), index)
+    return ranks_from_places(met.mapInArrow(_places(), f"question_id {asking}, place int, n long"), lists)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siltbed.operators import answers, pivots, retrieval
+from siltbed.operators import answers, pivots, postings, ranking, retrieval
 
 HIT = "question_id INT, rank INT, text STRING, source_url STRING"
 
@@ -250,3 +250,28 @@ def test_evaluation(spark):
     assert passed == {"good", "any", "ru", "free"}
     totals = answers.eval_totals(judged).first()
     assert (totals.passed, totals.cases) == (4, len(cases))
+
+
+def kept_rows(monkeypatch):
+    """Names and row counts of the tables that a search keeps."""
+    kept, stored = {}, ranking.stored
+
+    def counted(rows, purpose):
+        table = stored(rows, purpose)
+        kept[purpose] = table.count()
+        return table
+
+    for module in (ranking, pivots, postings):
+        if hasattr(module, "stored"):
+            monkeypatch.setattr(module, "stored", counted)
+    return kept
+
+
+def test_vector_search_keeps_no_row_per_question_and_block(spark, monkeypatch):
+    kept = kept_rows(monkeypatch)
+    rows = [(i, "c", "g", [math.cos(i), math.sin(i)]) for i in range(300)]
+    ddl = "{} INT, corpus_id STRING, generation STRING, embedding ARRAY<DOUBLE>"
+    index = retrieval.vector_index(spark.createDataFrame(rows, ddl.format("chunk_id")), 8, 1)
+    found = retrieval.retrieve_vector(spark.createDataFrame(rows[:100], ddl.format("question_id")), index, 1)
+    assert {(r.question_id, r.chunk_id) for r in found.collect()} == {(i, i) for i in range(100)}
+    assert max(kept.values()) <= len(rows)
