@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from siltbed.functions.text import word_line, words
 from siltbed.operators import answers, pivots, postings, ranking, retrieval
 
 HIT = "question_id INT, rank INT, text STRING, source_url STRING"
@@ -275,3 +276,21 @@ def test_vector_search_keeps_no_row_per_question_and_block(spark, monkeypatch):
     found = retrieval.retrieve_vector(spark.createDataFrame(rows[:100], ddl.format("question_id")), index, 1)
     assert {(r.question_id, r.chunk_id) for r in found.collect()} == {(i, i) for i in range(100)}
     assert max(kept.values()) <= len(rows)
+
+
+def test_keyword_search_keeps_no_row_per_posting(spark, monkeypatch):
+    kept = kept_rows(monkeypatch)
+    rows = [(i, "c", "g", " ".join(f"w{(i * j) % 41}" for j in range(1, 40)) + f" own{i}") for i in range(1, 100)]
+    ddl = "{} INT, corpus_id STRING, generation STRING, text STRING"
+    chunks = spark.createDataFrame(rows, ddl.format("chunk_id"))
+    asked = spark.createDataFrame([(i, "c", "g", f"own{i}") for i in range(1, 20)], ddl.format("question_id"))
+    found = retrieval.retrieve_keyword(asked, chunks, 1)
+    assert {(r.question_id, r.chunk_id) for r in found.collect()} == {(i, i) for i in range(1, 20)}
+    assert max(kept.values()) <= len(rows)
+
+
+def test_words_of_one_line_are_the_words(spark):
+    texts = ["A b,c__D", " ", "", None, "Éa ß٣ x\n\ty-z", "--", "İi ǅ ⅷ"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    for line, listed in rows.select(word_line(F.col("t")), words(F.col("t"))).collect():
+        assert line.split(" ") == (listed or [""])
