@@ -294,3 +294,16 @@ def test_words_of_one_line_are_the_words(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t STRING")
     for line, listed in rows.select(word_line(F.col("t")), words(F.col("t"))).collect():
         assert line.split(" ") == (listed or [""])
+
+
+def test_hybrid_search_weighs_the_words_of_its_questions_once(spark, monkeypatch):
+    kept, stored = [], ranking.stored
+
+    def named(rows, purpose):
+        kept.append(purpose)
+        return stored(rows, purpose)
+
+    monkeypatch.setattr(postings, "stored", named)
+    cs = [(i, "c", "g", [math.cos(i), math.sin(i)], f"w{i % 5}") for i in range(30)]
+    assert searched(spark, cs[:2], cs, 1) == fused(cs[:2], cs, 1)
+    assert kept.count("question-terms") == 1
