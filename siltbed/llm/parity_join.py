@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.llm.common import (
-    GOLDEN, RollingHash, joined, mix, pack, raw_bytes, shingle_sets, slices, task_count, unpack, work_table,
+    GOLDEN, RollingHash, joined, marked, mix, pack, raw_bytes, shingle_sets, slices, task_count, unpack, work_table,
 )
 from siltbed.llm.components import components
 
@@ -473,7 +473,9 @@ def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         "name", F.col("first.id").alias("wid"), F.col("first.h").alias("wh")), "parity-wanted")
     # Key and text together name the row that stands for a set: a key alone may stand on other texts, too,
     # and a text alone on very many rows.
-    zipped = slim.mapInArrow(_zipped, f"id {kind}, h long, t binary")
+    # Most texts are of no such set: they are neither zipped nor moved.
+    maybe = marked(slim, F.xxhash64("id", "h"), wanted, F.xxhash64("wid", "wh"), "maybe").filter("maybe").drop("maybe")
+    zipped = maybe.mapInArrow(_zipped, f"id {kind}, h long, t binary")
     its_own = (F.col("h") == F.col("wh")) & F.col("id").eqNullSafe(F.col("wid"))
     texts = work_table(zipped.join(wanted, its_own).groupBy("name").agg(F.min("t").alias("t")), "parity-texts")
     links = _linked(pairs, texts)
