@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.llm import line_spread, mixing, parity_join, quality_model, queries
-from siltbed.llm.common import distinct_name, parquet, work_table
+from siltbed.llm.common import distinct_name, marked, parquet, work_table
 from siltbed.registry.base import Registry
 
 R = Registry()
@@ -47,7 +47,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keys = [F.col("id").alias("_kid"), F.col("h").alias("_kh")]
     losers = near.filter("size > 0 AND NOT (id <=> first.id AND h = first.h)").select(*keys).distinct()
     losers = work_table(losers, "pipeline-losers")
-    kept = rows.join(losers, among(losers), "left_anti")
+    # What is surely no loser stays where it is.
+    flag = distinct_name(rows, "_maybe")
+    rows = marked(rows, F.xxhash64("doc_id", h), losers, F.xxhash64("_kid", "_kh"), flag)
+    kept = rows.filter(flag).join(losers, among(losers), "left_anti").unionByName(rows.filter(f"NOT `{flag}`"))
     # The row that stands for a group, or a row without words, may be there more than once.
     same = near.filter("size > 0 AND id <=> first.id AND h = first.h OR size = 0 AND id IS NOT NULL")
     repeats = work_table(same.groupBy(*keys).count().filter("count > 1").drop("count"), "pipeline-repeats")

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import distinct_name, work_table
+from siltbed.llm.common import distinct_name, marked, work_table
 
 LG_K = 8
 SIGMAS = 5
@@ -95,7 +95,11 @@ def drop_spread_lines(
         hits = hits.join(work_table(copies, "line-copies"), copied, "left_anti")
     hits = work_table(hits, "line-hits")
     same = (F.col(rid) == F.col(hit["_rid"])) & F.col(key).eqNullSafe(F.col(hit["_key"]))
-    joined = rows.join(hits, same, "left")
+    # Texts that lose nothing stay where they are.
+    flag = distinct_name(rows, "_maybe")
+    rows = marked(rows, F.col(rid), hits, F.col(hit["_rid"]), flag)
+    untouched = rows.filter(f"NOT `{flag}`").withColumn(hit["_gone"], F.lit(None).cast("array<int>"))
+    joined = rows.filter(flag).join(hits, same, "left").drop(hit["_rid"], hit["_key"]).unionByName(untouched)
     gone = F.col(hit["_gone"])
     kept_whole = gone.isNull()
     parts = F.split(F.col(text), "\n", -1)
