@@ -42,6 +42,7 @@ MANY = 1 << 20  # counts as crowded in every part
 BITS = 1024  # of a set's sketch in the second stage
 GROUP_ROWS = 1500  # sets of a crowded part that are held against each other at a time
 FIRST_PARTS = 8  # of a set's crowded parts that travel with it
+SLICE = 100_000  # bytes of text that are hashed at a time; longer slices are slower and take more memory
 BLOCK_BYTES = 2_000_000
 BUCKET_BYTES = 6_000_000
 
@@ -110,7 +111,7 @@ def set_name(owner: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roll = RollingHash()
-    for part in slices(batches, "t"):
+    for part in slices(batches, "t", SLICE):
         owner, hashes = shingle_sets(*raw_bytes(part.column("t")), roll, SHINGLE)
         names = set_name(owner, hashes, part.num_rows)
         sizes = np.bincount(owner, minlength=part.num_rows)
@@ -127,7 +128,7 @@ def _send(buckets: int):
         roll = RollingHash()
         held: list[tuple] = []
         size = 0
-        for part in slices(batches, "t"):
+        for part in slices(batches, "t", SLICE):
             data, offsets = raw_bytes(part.column("t"))
             owner, hashes = shingle_sets(data, offsets, roll, SHINGLE)
             names = set_name(owner, hashes, part.num_rows)
@@ -253,7 +254,7 @@ def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zstandard
 
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    for part in slices(batches, "t"):
+    for part in slices(batches, "t", SLICE):
         texts = [squeeze((t.as_py() or "").encode()) for t in part.column("t")]
         columns = [part.column("id"), part.column("h"), pa.array(texts, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["id", "h", "t"])

@@ -1,5 +1,8 @@
 """Texts that a join cannot touch are not moved, also where its keys are too many for a broadcast."""
 
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +78,19 @@ def test_only_wanted_texts_are_zipped(documents, no_broadcast, tmp_path, monkeyp
     rows = parity_join.near_documents(documents(texts)).collect()
     assert {r.doc_id: r.component_id for r in rows} == {i: min(i, 290) for i in range(295)}
     assert 5 <= sum(int(p.name.split("-")[0]) for p in tmp_path.iterdir()) < 290 / 3
+
+
+@pytest.mark.parametrize("step", ["_describe", "_send"])
+def test_shingles_of_few_texts_are_held_at_a_time(step):
+    rows = 2000
+    texts = [" ".join(f"{i}w{k}" for k in range(150)) for i in range(rows)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(rows)), "h": list(range(rows)), "t": texts})
+    run = parity_join._send(64) if step == "_send" else parity_join._describe
+    for _ in run(iter([batch.slice(0, 100)])):  # what is made once
+        pass
+    tracemalloc.start()
+    for _ in run(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25_000_000
