@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from siltbed.llm.common import distinct_name, raw_bytes, slices
+from siltbed.llm.common import SMALL_SLICE, distinct_name, raw_bytes, slices, texts_in_arrow
 
 CACHE_ENTRIES = 120_000
 
@@ -154,7 +154,7 @@ def bpe_encode(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(vocabulary)
-        for part in slices(batches, text):
+        for part in slices(batches, text, SMALL_SLICE):
             found = codec.encode(*raw_bytes(part.column(text)))
             columns = [part.column(c) for c in others]
             columns += [pa.array(found, pa.binary()), pa.array([len(x) // 4 for x in found], pa.int64())]
@@ -163,7 +163,7 @@ def bpe_encode(
                 columns.append(pa.array(texts, pa.binary()).cast(pa.string()))
             yield pa.RecordBatch.from_arrays(columns, [*others, *new])
 
-    return rows.mapInArrow(encode, schema)
+    return texts_in_arrow(rows, encode, schema)
 
 
 def bpe_decode(rows: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -174,9 +174,9 @@ def bpe_decode(rows: DataFrame, vocabulary: str, ids: str = "ids", text: str = "
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(vocabulary)
-        for part in slices(batches, ids):
+        for part in slices(batches, ids, SMALL_SLICE):
             found = [codec.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in part.column(ids)]
             column = pa.array(found, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, text])
 
-    return rows.mapInArrow(decode, schema)
+    return texts_in_arrow(rows, decode, schema)

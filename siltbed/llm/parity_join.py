@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.llm.common import (
-    GOLDEN, RollingHash, joined, marked, mix, pack, raw_bytes, shingle_sets, slices, task_count, unpack, work_table,
+    GOLDEN, SMALL_SLICE, RollingHash, joined, marked, mix, pack, raw_bytes, shingle_sets, slices, task_count, texts_in_arrow,
+    unpack, work_table,
 )
 from siltbed.llm.components import components
 
@@ -42,7 +43,6 @@ MANY = 1 << 20  # counts as crowded in every part
 BITS = 1024  # of a set's sketch in the second stage
 GROUP_ROWS = 1500  # sets of a crowded part that are held against each other at a time
 FIRST_PARTS = 8  # of a set's crowded parts that travel with it
-SLICE = 100_000  # bytes of text that are hashed at a time; longer slices are slower and take more memory
 BLOCK_BYTES = 2_000_000
 BUCKET_BYTES = 6_000_000
 
@@ -111,7 +111,7 @@ def set_name(owner: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roll = RollingHash()
-    for part in slices(batches, "t", SLICE):
+    for part in slices(batches, "t", SMALL_SLICE):
         owner, hashes = shingle_sets(*raw_bytes(part.column("t")), roll, SHINGLE)
         names = set_name(owner, hashes, part.num_rows)
         sizes = np.bincount(owner, minlength=part.num_rows)
@@ -128,7 +128,7 @@ def _send(buckets: int):
         roll = RollingHash()
         held: list[tuple] = []
         size = 0
-        for part in slices(batches, "t", SLICE):
+        for part in slices(batches, "t", SMALL_SLICE):
             data, offsets = raw_bytes(part.column("t"))
             owner, hashes = shingle_sets(data, offsets, roll, SHINGLE)
             names = set_name(owner, hashes, part.num_rows)
@@ -254,7 +254,7 @@ def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zstandard
 
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    for part in slices(batches, "t", SLICE):
+    for part in slices(batches, "t", SMALL_SLICE):
         texts = [squeeze((t.as_py() or "").encode()) for t in part.column("t")]
         columns = [part.column("id"), part.column("h"), pa.array(texts, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["id", "h", "t"])
@@ -264,7 +264,7 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified pairs (``a``, ``b``) of set names."""
     both = pairs.join(texts.select(F.col("name").alias("a"), F.col("t").alias("ta")), "a")
     both = both.join(texts.select(F.col("name").alias("b"), F.col("t").alias("tb")), "b")
-    return work_table(both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long"), "parity-links")
+    return work_table(texts_in_arrow(both.select("a", "b", "ta", "tb"), _verify, "a long, b long"), "parity-links")
 
 
 def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,7 +375,7 @@ def _crowd_links(texts: DataFrame, unsafe: DataFrame, found: DataFrame) -> DataF
     whose sketches are near enough.
     """
     own = texts.join(unsafe, "name", "left_semi").select("name", "t")
-    spelled = work_table(own.mapInArrow(_spell, "part long, name long, differ long, total long"), "parity-parts")
+    spelled = work_table(texts_in_arrow(own, _spell, "part long, name long, differ long, total long"), "parity-parts")
     # A set's parts that no other has are its rarest; they are only counted, and do not move again.
     met = spelled.groupBy("part").agg(F.count("*").alias("n")).filter("n > 1")
     shared = spelled.join(work_table(met, "parity-shared"), "part")
@@ -398,7 +398,7 @@ def _crowd_links(texts: DataFrame, unsafe: DataFrame, found: DataFrame) -> DataF
         "part", F.col("top.component").alias("main"),
         F.ceil((F.col("n") - F.col("top.n")) / GROUP_ROWS).alias("p"), F.ceil(F.col("n") / GROUP_ROWS).alias("q"),
     )
-    bits = own.mapInArrow(_bitmaps, "name long, bits binary, size long")
+    bits = texts_in_arrow(own, _bitmaps, "name long, bits binary, size long")
     open_ = work_table(placed.join(main, "part"), "parity-open-parts")
     lists = open_.groupBy("name").agg(F.slice(F.array_sort(F.collect_list("part")), 1, FIRST_PARTS).alias("parts"))
     open_ = work_table(open_.join(bits.join(lists, "name"), "name"), "parity-open")
@@ -411,7 +411,7 @@ def _crowd_links(texts: DataFrame, unsafe: DataFrame, found: DataFrame) -> DataF
         "i", F.explode(F.sequence(F.lit(0), F.col("p") - 1))).withColumn("side", F.lit(1))
     dealt = one.select(columns).unionByName(two.select(columns))
     dealt = dealt.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "side")
-    across = dealt.mapInArrow(_meet, "a long, b long").distinct()
+    across = texts_in_arrow(dealt, _meet, "a long, b long").distinct()
     across = work_table(across.join(stars, ["a", "b"], "left_anti"), "parity-across")
     return links.unionByName(_linked(across, texts))
 
@@ -446,15 +446,15 @@ def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """
     slim = docs.select(F.col(key).alias("id"), text_hash(text).alias("h"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     kind = docs.schema[key].dataType.simpleString()
-    described = work_table(slim.mapInArrow(_describe, f"id {kind}, h long, name long, size long"), "parity-sets")
+    described = work_table(texts_in_arrow(slim, _describe, f"id {kind}, h long, name long, size long"), "parity-sets")
     stands = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("first")
     sets = described.filter("size > 0").groupBy("name").agg(stands, F.min("size").alias("size"))
     sets = work_table(sets, "parity-classes")
     # About 14 bytes a part, and parts are half of the shingles.
     buckets = task_count(described, BUCKET_BYTES, F.col("size") * 7)
-    sent = slim.select("t").mapInArrow(_send(buckets), "bucket int, kind int, names binary, extra binary")
+    sent = texts_in_arrow(slim.select("t"), _send(buckets), "bucket int, kind int, names binary, extra binary")
     dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    matched = work_table(dealt.mapInArrow(_match, "a long, b long, n long"), "parity-matches")
+    matched = work_table(texts_in_arrow(dealt, _match, "a long, b long, n long"), "parity-matches")
     loud = matched.filter("b = 0").groupBy(F.col("a").alias("name")).agg(F.sum("n").alias("n"))
     loud = work_table(loud.join(sets, "name").select("name", "n", "size"), "parity-crowds")
     counted = matched.filter("b <> 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -476,7 +476,7 @@ def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     # and a text alone on very many rows.
     # Most texts are of no such set: they are neither zipped nor moved.
     maybe = marked(slim, F.xxhash64("id", "h"), wanted, F.xxhash64("wid", "wh"), "maybe").filter("maybe").drop("maybe")
-    zipped = maybe.mapInArrow(_zipped, f"id {kind}, h long, t binary")
+    zipped = texts_in_arrow(maybe, _zipped, f"id {kind}, h long, t binary")
     its_own = (F.col("h") == F.col("wh")) & F.col("id").eqNullSafe(F.col("wid"))
     texts = work_table(zipped.join(wanted, its_own).groupBy("name").agg(F.min("t").alias("t")), "parity-texts")
     links = _linked(pairs, texts)

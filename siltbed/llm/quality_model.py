@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import RollingHash, raw_bytes, slices, word_spans
+from siltbed.llm.common import SMALL_SLICE, RollingHash, raw_bytes, slices, texts_in_arrow, word_spans
 
 PASSAGE_WORDS = 64
 MAX_TRAINING = 4000  # labelled rows that are learned from
@@ -192,7 +192,7 @@ def fit(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll = RollingHash()
-        for part in slices(batches, text):
+        for part in slices(batches, text, SMALL_SLICE):
             bags, features = passages(*raw_bytes(part.column(text)), roll)
             edges = np.searchsorted(bags, np.arange(part.num_rows + 1))
             blobs = [features[a:b].astype("<f4").tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -200,7 +200,7 @@ def fit(
                 [part.column(key), part.column("_label"), pa.array(blobs, pa.binary())], [key, "_label", "x"]
             )
 
-    encoded = rows.mapInArrow(encode, f"`{key}` {kind}, _label int, x binary")
+    encoded = texts_in_arrow(rows, encode, f"`{key}` {kind}, _label int, x binary")
     width = 4 * N_FEATURES
     encoded = encoded.filter(F.octet_length("x") <= width * max_passages // 20)
     # A window over max_training rows, whatever the table.
@@ -226,7 +226,7 @@ def quality_scores(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll = RollingHash()
-        for part in slices(batches, text):
+        for part in slices(batches, text, SMALL_SLICE):
             bags, features = passages(*raw_bytes(part.column(text)), roll)
             # Rounded, as sums over differently cut slices may differ in their last digits.
             p = np.round(model.score(bags, features.astype("<f4").astype(float), part.num_rows), 6)
@@ -235,7 +235,7 @@ def quality_scores(
                 [*part.schema.names, out, "predicted"],
             )
 
-    return docs.mapInArrow(score, schema)
+    return texts_in_arrow(docs, score, schema)
 
 
 def accuracy(scored: pd.DataFrame, label: str = "quality") -> float:
