@@ -136,21 +136,31 @@ def reference_checks(active: DataFrame, projects: DataFrame) -> DataFrame:
     )
 
 
+def _both_sides(left: DataFrame, right: DataFrame, value: str) -> DataFrame:
+    """Every value with whether the left side has it, and how many rows of the right side; one shuffle for both."""
+    marked = left.select(value, F.lit(True).alias("_left"), F.lit(0).alias("_right")).unionByName(
+        right.select(value, F.lit(False).alias("_left"), F.lit(1).alias("_right"))
+    )
+    return marked.groupBy(value).agg(F.max("_left").alias("_left"), F.sum("_right").alias("_right"))
+
+
 def coverage_check(flagged: DataFrame, silver: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
     """What the refinement lost: clean keys without a Silver row (late drops too), repeated
     Silver keys, and rejected payloads missing from quarantine."""
-    expected = flagged.filter("_dq_passed").select(key).distinct()
-    lost = expected.join(silver.select(key).distinct(), key, "left_anti")
-    payloads = flagged.filter("NOT _dq_passed").select("event_json").distinct()
-    unkept = payloads.join(rejected.select("event_json").distinct(), "event_json", "left_anti")
-    return all_checks(
-        [
-            _counted(lost, "clean_keys_missing"),
-            check_unique_keys(silver, key, "silver_keys_repeated"),
-            _counted(unkept, "rejected_payloads_missing"),
-        ]
+    keys = _both_sides(flagged.filter("_dq_passed"), silver, key).agg(
+        F.count_if(F.expr("_left AND _right = 0")).alias("clean_keys_missing"),
+        F.count_if(F.col("_right") > 1).alias("silver_keys_repeated"),
+    )
+    payloads = _both_sides(flagged.filter("NOT _dq_passed"), rejected, "event_json").agg(
+        F.count_if(F.expr("_left AND _right = 0")).alias("rejected_payloads_missing")
     )
 
+    def listed(counts: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(n).alias("check_name"), F.col(n).alias("violations")) for n in counts.columns]
+        return counts.select(F.inline(F.array(*pairs)))
+
+    return all_checks([listed(keys), listed(payloads)])
+
 
 def require_clean(checks: DataFrame) -> None:
     """Raise if any check has violations; reads one row per failed check."""

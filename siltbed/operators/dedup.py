@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltbed.functions.joins import top_per_group
+from siltbed.functions.plans import stored
 from siltbed.functions.text import digest
 
 KEY = "_event_key"
@@ -36,6 +37,25 @@ def dedup_batch(
     return top_per_group(rows, [key], order, 1, "_copy").drop("_copy")
 
 
+def repeated_keys(rows: DataFrame, key: str = KEY, known: DataFrame | None = None) -> DataFrame:
+    """Hashes of the keys that occur more than once in ``rows``, or in ``rows`` and in ``known``; for rows that lie in files.
+
+    Eight bytes of each key are shuffled. Two keys of one hash count as repeated too, so an exact step on
+    the rows of these hashes (``with_hash``) and none on the others gives the exact result.
+    """
+    seen = rows.select(F.xxhash64(key).alias("_hash"), F.lit(True).alias("_own"))
+    if known is not None:
+        seen = seen.unionByName(known.select(F.xxhash64(key).alias("_hash"), F.lit(False).alias("_own")))
+    counted = seen.groupBy("_hash").agg(F.count("*").alias("_n"), F.max("_own").alias("_own"))
+    return stored(counted.filter("_own AND _n > 1").select("_hash"), "repeated-keys")
+
+
+def with_hash(rows: DataFrame, hashes: DataFrame, found: bool = True, key: str = KEY) -> DataFrame:
+    """Rows whose key has one of the hashes, or (``found=False``) none of them."""
+    how = "left_semi" if found else "left_anti"
+    return rows.withColumn("_hash", F.xxhash64(key)).join(hashes, "_hash", how).select(rows.columns)
+
+
 def duplicate_payloads(rows: DataFrame, column: str = "event_json") -> DataFrame:
     """Values delivered more than once."""
     return (

@@ -16,7 +16,7 @@ from siltbed.operators import checks, chunks, corpus, dimensions, facts, history
 from siltbed.operators.dedup import KEY
 from siltbed.plans import store
 from siltbed.plans.publish import Publication, publish_all, publish_table, published_or_none
-from siltbed.plans.refine import clean_events, quarantined_events
+from siltbed.plans.refine import clean_staged, quarantined_events
 
 FACT, PROJECTS, DATES, EDITORS = "fact_edits", "dim_project", "dim_date", "dim_editor_type"
 CLEAN, QUARANTINE = "clean_events", "quarantined_events"
@@ -31,7 +31,7 @@ def publish_events(flagged: DataFrame, root: str) -> dict[str, DataFrame]:
     the flagged rows from files.
     """
     staged = stored(flagged, "flagged-events")
-    clean, rejected = clean_events(staged), quarantined_events(staged)
+    clean, rejected = clean_staged(staged), quarantined_events(staged)
     published: dict[str, DataFrame] = {}
 
     def keep(written: DataFrame) -> None:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.operators.dedup import KEY, dedup_batch, event_key
+from siltbed.operators.dedup import KEY, dedup_batch, event_key, repeated_keys, with_hash
 from siltbed.operators.parse import parse_events
 from siltbed.operators.quality import EVENT_RULES, dq_flags, good_rows, quarantine
 from siltbed.sources.inbox import decode_inbox
@@ -33,5 +33,12 @@ def clean_events(flagged: DataFrame, valid_first: bool = True) -> DataFrame:
     return good_rows(dedup_batch(flagged, KEY, order))
 
 
+def clean_staged(staged: DataFrame) -> DataFrame:
+    """``clean_events`` of rows that lie in files: only rows whose key may be repeated are moved."""
+    good = good_rows(staged)
+    repeated = repeated_keys(good)
+    return with_hash(good, repeated, False).unionByName(clean_events(with_hash(good, repeated)))
+
+
 def quarantined_events(flagged: DataFrame) -> DataFrame:
     return quarantine(flagged)
