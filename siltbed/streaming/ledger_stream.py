@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.functions.plans import stored
-from siltbed.operators.dedup import KEY
+from siltbed.operators.dedup import KEY, repeated_keys, with_hash
 from siltbed.operators.quality import EVENT_RULES, good_rows, quarantine
 from siltbed.plans import store
 from siltbed.plans.refine import clean_events, refine
@@ -52,7 +52,8 @@ def refine_batch(
     The watermark of a batch is the newest valid event of all batches before it, less ``lateness`` seconds, so
     rows of one batch never make each other late. A row on time is kept unless its key is among the
     clean rows that are still in reach of the watermark. A row behind it goes to the ledger unless a clean row
-    has its key: then it is a copy and nothing is lost.
+    has its key: then it is a copy and nothing is lost. Rows whose key is neither repeated in the batch nor
+    among the clean rows go where their clock says, without a shuffle.
     """
     spark = inbox.sparkSession
     held = store.snapshot(spark, root)
@@ -65,17 +66,18 @@ def refine_batch(
     clock = F.unix_micros("event_time")
     floor = marks[NEWEST] - lateness * 1_000_000 if NEWEST in marks else None
     behind = F.lit(False) if floor is None else F.coalesce(clock < floor, F.lit(False))
-    fresh, late = clean_events(staged.filter(~behind)), good.filter(behind)
-    if before is not None:
-        known = _committed(spark, before).select(KEY, "event_time")
-        if floor is not None:
-            # Only what can still be repeated on time; Parquet statistics skip older files.
-            reach = known.filter(F.col("event_time") >= F.timestamp_micros(F.lit(floor)))
-        else:
-            reach = known
+    known = None if before is None else _committed(spark, before).select(KEY, "event_time")
+    repeated = repeated_keys(good, known=known)
+    single, others = with_hash(good, repeated, False), stored(with_hash(good, repeated), "ledger-repeated")
+    fresh, late = clean_events(others.filter(~behind)), others.filter(behind)
+    if known is not None:
+        known = stored(with_hash(known, repeated), "ledger-known")
+        # Only what can still be repeated on time.
+        reach = known if floor is None else known.filter(F.col("event_time") >= F.timestamp_micros(F.lit(floor)))
         fresh = fresh.join(reach.select(KEY), KEY, "left_anti").select(fresh.columns)
         copies = known.join(late.select(KEY).distinct(), KEY, "left_semi").select(KEY).distinct()
         late = late.join(copies, KEY, "left_anti").select(late.columns)
+    fresh, late = single.filter(~behind).unionByName(fresh), single.filter(behind).unionByName(late)
     newest = good.agg(F.max(clock)).first()[0]
     marks = {**marks, BATCH: batch} | ({NEWEST: max(newest, marks.get(NEWEST, newest))} if newest is not None else {})
     sinks = {CLEAN: fresh, LATE: late, REJECTED: quarantine(staged)}
